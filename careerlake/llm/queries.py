@@ -22,8 +22,25 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.quality import quality_scores
+
+    scored = quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), ~held_out(4, 2), threshold=0.7)
+    return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.toxicity import fit, toxicity_scores
+
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity_scores(docs, fit(docs, read(spark, sf_dir, "labels"), ~held_out(3, 1)), threshold=0.7)
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
