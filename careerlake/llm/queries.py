@@ -22,6 +22,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.simhash import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.quality import quality_scores
 
@@ -38,6 +44,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
     "op10_toxicity": op10_toxicity,
