@@ -35,6 +35,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.ann import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.embedding_dedup import near_duplicate_vectors
+
+    return near_duplicate_vectors(read(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.toxicity import fit, toxicity_scores
 
@@ -47,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
+    "op6_ann": op6_ann,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
