@@ -22,6 +22,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.brown import class_model_scores
+
+    scored = class_model_scores(read(spark, sf_dir, "documents"), ~held_out(7, 2))
+    return scored.withColumn("held_out", held_out(7, 2)).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.simhash import near_duplicates
 
@@ -56,6 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_brown_lm": op1_brown_lm,
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
