@@ -48,6 +48,12 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.html_extract import main_texts
+
+    return main_texts(read(spark, sf_dir, "pages"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.embedding_dedup import near_duplicate_vectors
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
     "op6_ann": op6_ann,
+    "op7_html": op7_html,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
 }
