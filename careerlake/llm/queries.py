@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careerlake.llm import mixing
 from careerlake.llm.common import held_out, read
 
 
@@ -42,6 +43,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
 
 
+def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from careerlake.llm.merge_dropout import segmentations
+
+    return segmentations(read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), rate=0.1, seed=5).drop("ids")
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.ann import nearest
 
@@ -54,6 +61,10 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read(spark, sf_dir, "pages"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(read(spark, sf_dir, "documents"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.embedding_dedup import near_duplicate_vectors
 
@@ -73,11 +84,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
+    "op5_merge_dropout": op5_merge_dropout,
     "op6_ann": op6_ann,
     "op7_html": op7_html,
+    "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.oracle_sql()}
