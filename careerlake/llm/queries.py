@@ -11,7 +11,7 @@ from careerlake.llm import mixing
 from careerlake.llm.common import held_out, read
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -20,7 +20,7 @@ def _vocabulary(name: str) -> str:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.token_counts import token_counts
 
-    return token_counts(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=512)
+    return token_counts(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
 def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     from careerlake.llm.merge_dropout import segmentations
 
-    return segmentations(read(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), rate=0.1, seed=5).drop("ids")
+    return segmentations(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), rate=0.1, seed=5).drop("ids")
 
 
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
