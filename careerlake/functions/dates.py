@@ -49,8 +49,8 @@ def normalize_date(c: Column, run_date: str | None = None) -> Column:
     ISO dates and M/d/yyyy are read by built-in functions; only with run_date given are others handed to the lenient parser.
     """
     text = strip(c)
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.date_format(F.try_to_date(text, F.lit("yyyy-MM-dd")), "yyyy-MM-dd"))
-    us = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.date_format(F.try_to_date(text, F.lit("M/d/yyyy")), "yyyy-MM-dd"))
+    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.date_format(F.try_to_date(text, "yyyy-MM-dd"), "yyyy-MM-dd"))
+    us = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.date_format(F.try_to_date(text, "M/d/yyyy"), "yyyy-MM-dd"))
     fast = F.coalesce(iso, us)
     read = fast if run_date is None else F.coalesce(fast, lenient_date(run_date)(F.when(fast.isNull() & (text != ""), text)))
     return F.when(F.coalesce(c, F.lit("")) == "", c).otherwise(F.coalesce(read, text))
