@@ -55,7 +55,7 @@ def retry(step: Callable, times: int = 3, wait: float = 20.0, backoff: float = 2
 def guard_scan(df: DataFrame, most: int | None) -> None:
     """ValueError if the optimiser expects the plan to read more bytes than allowed."""
     if most is not None:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         if size > most:
             raise ValueError(f"the query would scan about {size} bytes; {most} are allowed")
 
