@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,3 +43,21 @@ def first_seen(jobs: DataFrame, registry: DataFrame, now: Column, order: list[st
         fresh = fresh.filter("job_hash is not null")
     entries = fresh.filter("job_hash is not null").select("job_hash", F.col("run_id").alias("first_seen_run_id"), "portal_key", "source_url", now.cast("long").alias("first_seen_ts"), (now + ttl_days * 86_400).cast("long").alias("expires_at"))
     return fresh, entries
+
+
+def first_seen_or_pass(jobs: DataFrame, registry: Callable[[], DataFrame] | None, now: Column, order: list[str], on_error: str = "fail", **how) -> tuple[DataFrame, DataFrame | None]:
+    """first_seen over a registry that may be missing or unreadable.
+
+    No registry: everything passes, no entries. One that can't be read: with on_error="pass" everything passes, with "fail" the error is raised.
+    """
+    if on_error not in ("fail", "pass"):
+        raise ValueError("on_error is 'fail' or 'pass'")
+    if registry is None:
+        return jobs, None
+    try:
+        known = registry()
+    except (AnalysisException, OSError):
+        if on_error == "fail":
+            raise
+        return jobs, None
+    return first_seen(jobs, known, now, order, **how)

@@ -71,3 +71,13 @@ def audit_totals(audited: DataFrame) -> DataFrame:
     counted = audited.select(F.explode(names).alias("name")).groupBy("name").agg(F.count("*").alias("n"))
     always = audited.sparkSession.sql("select explode(array('recommended', 'total')) as name, 0L as n")
     return counted.unionByName(always).groupBy("name").agg(F.sum("n").alias("n"))
+
+
+def requests(loaded: DataFrame) -> DataFrame:
+    """One listing request for each loaded seed: pos, url, portal_key, request_kind, input_seed_url."""
+    return loaded.select("pos", "url", urls.portal_key(F.col("url")).alias("portal_key"), F.lit("listing").alias("request_kind"), F.col("url").alias("input_seed_url"))
+
+
+def allowed_hosts(loaded: DataFrame) -> DataFrame:
+    """One row: how many seeds, and their distinct hosts in order."""
+    return loaded.agg(F.count("*").alias("input_seed_count"), F.sort_array(F.collect_set(urls.host(F.col("url")))).alias("hosts"))

@@ -145,3 +145,16 @@ def run_metrics(manifests: DataFrame) -> DataFrame:
     return manifests.select(F.to_timestamp("finished_at").alias("ts"), "project", "stage", "run_id", each).select("ts", "project", "stage", "run_id", "p.name", "p.value").filter("value is not null")
 
 
+
+
+def metrics_snapshot(stats: DataFrame, summary: DataFrame, reason: str, at: str) -> DataFrame:
+    """One row: all stats (name, value) as a map with _dump_ts, _dump_reason and _summary, the summary's row as JSON."""
+    named = stats.agg(F.map_from_entries(F.collect_list(F.struct("name", F.col("value").cast("string")))).alias("stats"))
+    own = F.create_map(F.lit("_dump_ts"), F.lit(at), F.lit("_dump_reason"), F.lit(reason), F.lit("_summary"), F.to_json(F.struct("s.*")))
+    return named.join(summary.select(F.struct("*").alias("s")), F.lit(True)).select(F.map_concat("stats", own).alias("metrics"))
+
+
+def observed(jobs: DataFrame, name: str = "run_counters") -> DataFrame:
+    """jobs as it is, with running counters that a listener (or an Observation of this name) gets as rows pass, batch or stream."""
+    valid = F.col("record_status") == "valid"
+    return jobs.observe(name, F.count_if(valid).alias("jobs_exported_total"), F.count_if(~valid).alias("jobs_quarantined_total"), F.coalesce(F.sum(F.size("validation_warnings")), F.lit(0)).alias("validation_warning_total"))

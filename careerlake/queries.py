@@ -302,6 +302,16 @@ def seed_load(spark, sf_dir):
     return seeds.load(view(spark, sf_dir, "seeds"))
 
 
+@query(with_views("seeds") + SEEDS_SQL + f" select pos, u as url, {portal_sql('u')} as portal_key, 'listing' as request_kind, u as input_seed_url from s2 where http and not internal")
+def seed_requests(spark, sf_dir):
+    return seeds.requests(seeds.load(view(spark, sf_dir, "seeds")))
+
+
+@query(with_views("seeds") + SEEDS_SQL + f" select count(*) as input_seed_count, array_to_string(list_sort(list(distinct {host_sql('u')})), '|') as hosts from s2 where http and not internal")
+def seed_hosts(spark, sf_dir):
+    return _flat(seeds.allowed_hosts(seeds.load(view(spark, sf_dir, "seeds"))))
+
+
 @query(with_views("seeds") + SEEDS_SQL + CLASSIFIED_SQL + " select * replace (cast(http_status as double) as http_status) from classified")
 def seed_classification(spark, sf_dir):
     return _classified(spark, sf_dir).drop("reason").withColumn("http_status", F.col("http_status").cast("double"))
@@ -422,6 +432,12 @@ def last_row_wins(spark, sf_dir):
     return pick(view(spark, sf_dir, "requests").select("portal_key", "event_id", "kind"), "portal_key", "event_id")
 
 
+@query(with_views("requests") + " select count(*) as exported, count(*) filter (status >= 400) as failed from requests")
+def request_totals(spark, sf_dir):
+    r = view(spark, sf_dir, "requests")
+    return r.agg(F.count("*").alias("exported"), F.count_if(F.col("status") >= 400).alias("failed"))
+
+
 # -- extraction ------------------------------------------------------------------------------
 
 RAW_LABELS = ["Job Number:", " Location(s): ", "Location :", "REMOTE?", "Time Type", "Salary"]

@@ -89,3 +89,30 @@ def test_stream_keeps_the_first_of_each_job(spark, tmp_path):
         (tmp_path / "in" / "2.jsonl").write_text("\n".join([job("a", 5), job("c", 6)]))
     counts = stream.windowed_counts(stream.stream_jsonl(spark, str(tmp_path / "in"), JOB))
     assert counts.isStreaming and counts.columns == ["window_start", "portal_key", "record_status", "n"]
+
+
+def test_commands(spark, tmp_path, capsys):
+    from careerlake import cli
+
+    run = {"run_id": "r", "close_reason": "finished", "counts": {"jobs_exported_total": 5, "jobs_quarantined_total": 0}, "quality": {"job_detail_success_rate": 0.8}}
+    (tmp_path / "m.json").write_text(json.dumps(run, indent=1))
+    assert cli.main(["smoke", str(tmp_path / "m.json")]) == 0
+    assert cli.main(["smoke", str(tmp_path / "m.json"), "--least-success", "0.9"]) == 1
+    (tmp_path / "s.csv").write_text("url\nhttps://a.com/careers\nhttps://a.com/careers\n")
+    (tmp_path / "p.jsonl").write_text(json.dumps({"url": "https://a.com/careers", "dns_resolved": True, "http_status": 200, "reason": "ok"}))
+    assert cli.main(["audit", str(tmp_path / "s.csv"), str(tmp_path / "p.jsonl"), str(tmp_path / "out")]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"duplicate": 1, "recommended": 1, "total": 2, "valid_keep": 1}
+
+
+def test_snapshots_and_registry_policy(spark):
+    from careerlake.operators import dedupe
+
+    stats = spark.createDataFrame([("a", 1)], "name string, value long")
+    got = telemetry.metrics_snapshot(stats, spark.range(1), "close", "now").first().metrics
+    assert got == {"a": "1", "_dump_ts": "now", "_dump_reason": "close", "_summary": '{"id":0}'}
+    jobs = spark.createDataFrame([("a", "r", "p", "u")], "job_hash string, run_id string, portal_key string, source_url string")
+    gone = lambda: spark.read.parquet("/none/such")
+    assert dedupe.first_seen_or_pass(jobs, None, F.lit(1), ["job_hash"])[1] is None
+    assert dedupe.first_seen_or_pass(jobs, gone, F.lit(1), ["job_hash"], on_error="pass")[0].count() == 1
+    with pytest.raises(Exception, match="(?i)path"):
+        dedupe.first_seen_or_pass(jobs, gone, F.lit(1), ["job_hash"])
