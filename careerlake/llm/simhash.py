@@ -194,14 +194,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns as they are, that stand for their component: the one with its smallest id.
 
-    Of rows that repeat that id one stays. Rows with a null id stay only if their component has no id at all.
+    Of rows that repeat that id one stays. Rows with a null id can't be told apart by it and all stay.
     """
     marked = near_duplicates(docs, id_col, text_col)
-    first = Saved(marked.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_first")).agg(F.count("*").alias("_rows")), "first").df
+    first = Saved(marked.filter(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_first")).agg(F.count("*").alias("_rows")), "first").df
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     at = F.col("_row")[id_col]
-    stay = packed.join(first, at.eqNullSafe(F.col("_first")))
+    stay = packed.join(first, at == F.col("_first"))
     if first.filter("_rows > 1").limit(1).count():
         again = stay.filter("_rows > 1").groupBy("_first").agg(F.first("_row").alias("_row")).select("_row")
         stay = stay.filter("_rows = 1").select("_row").unionByName(again)
-    return stay.select("_row.*")
+    return stay.select("_row").unionByName(packed.filter(at.isNull())).select("_row.*")
