@@ -200,7 +200,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = Saved(marked.filter(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_first")).agg(F.count("*").alias("_rows")), "first").df
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     at = F.col("_row")[id_col]
-    stay = packed.join(first, at == F.col("_first"))
+    # dealt by id at every size, the ids hashed in each task: the wide rows are neither sorted nor is the list of ids sent out
+    stay = packed.join(first.hint("shuffle_hash"), at == F.col("_first"))
     if first.filter("_rows > 1").limit(1).count():
         again = stay.filter("_rows > 1").groupBy("_first").agg(F.first("_row").alias("_row")).select("_row")
         stay = stay.filter("_rows = 1").select("_row").unionByName(again)
