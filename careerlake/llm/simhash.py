@@ -4,7 +4,7 @@ A fingerprint is linked to all that differ from it in at most 3 bits. Two finger
 a variant in common among their one-bit variants: they meet in the middle. The third bit is absorbed by leaving out, in
 turn, each of three blocks of bits: whatever the differing bits are, some block left out holds one of 3 of them (or
 all 3), so that every fingerprint emits all variants within half of the remaining radius, for each block left out:
-44 + 44 + 43 keys. Fingerprints that share a key are colliding pairs; those within 3 bits are linked.
+3 * 44 keys (one of them unused by the third block). Fingerprints that share a key are colliding pairs; those within 3 bits are linked.
 
 Copies share a fingerprint and are collapsed before. A key's fingerprints are never paired all with all: in a large
 bucket those with equal left-out bits are linked in a chain (they differ in 2 bits at most), the chains of left-out bits
