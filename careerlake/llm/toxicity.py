@@ -150,8 +150,10 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "tox
 
         return run
 
-    got = map_arrow(rows, indexing, "label int, x array<int>, other array<int>").orderBy("label", "x").toArrow()  # as many rows as the sample
-    bias, w = train_weights(got.column("label").to_pylist(), got.column("x").to_pylist(), got.column("other").to_pylist(), len(names), pairing, l2)
+    got = map_arrow(rows, indexing, "label int, x array<int>, other array<int>").toArrow()  # as many rows as the sample
+    # rows arrive in any order; a fixed one makes the sums the same at every run
+    known_rows = sorted(zip(*(got.column(c).to_pylist() for c in ("label", "x", "other")), strict=True), key=lambda r: (r[0], r[1], r[2] or []))
+    bias, w = train_weights(*map(list, zip(*known_rows, strict=True)), len(names), pairing, l2)
     return Model(bias, {f: float(v) for f, v in zip(names, w, strict=True) if v})
 
 
