@@ -78,3 +78,14 @@ def test_segmentations_of_a_table(spark):
     assert [(r.n_chars, r.lossless) for r in got.collect()] == [(0, True), (0, True), (13, True), (13, True), (60_000, True)]
     assert [r.text for r in decoded(got, PIECES).collect()] == ["", "", "  two  words ", "  two  words ", "▁a\n" * 20_000]
     assert segmentations(df.limit(0), PIECES).count() == 0
+
+
+def test_words_are_the_same_by_the_library_and_beside_marks():
+    s, plain = Segmenter(PIECES, 0.2, seed=7), Segmenter(PIECES, 0.2, seed=7)
+    plain.library = None
+    for t in [*texts(300, 5), "Another committee, gathering.\nEs war (einmal) eine a,b,c", "\n", ".", "é.", "a" * 70 + ",b"]:
+        assert s.encode(t, 1).tolist() == plain.encode(t, 1).tolist() and s.decode(s.encode(t, 1)) == t
+    word, comma = (s.segment(x, 0) for x in ("▁committee", "▁committee,"))
+    assert comma.startswith(word) and len(comma) > len(word)
+    long = "▁" + "ab,cd.\n" * 20
+    assert s.segment(long, 0) == plain.segment(long, 0)
