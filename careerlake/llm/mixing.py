@@ -1,8 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame functions only.
 
 Token weights are summed by (source, language, topic) cell. Rounds of raking scale the cells' weights to the target
-marginals of source, language and topic in turn. A cell's factor is its raked weight over its observed one; documents are then
-drawn with probability min(1, scale * factor), the scale such that the expected tokens kept are the wanted share.
+marginals of source, language and topic in turn. A cell's factor is its raked weight over its observed one.
+
+keep_mixed draws each document share * factor times (of shares that add up to 1): the whole part of that surely, once more with the
+rest as the probability. So cells that the targets want larger are repeated, and the expected tokens drawn are the wanted share
+and meet the targets, however large a factor is. mixing_report follows its SQL, which draws no document twice: with probability
+min(1, scale * factor), the scale such that the expected tokens kept are the wanted share; where cells are taken whole its
+sample doesn't meet the targets.
 
 Targets follow from the observed marginals by an exponent (1: as they are, 0: all values alike), or are given by value. The
 cells are one row for each combination that occurs, so all rounds run in a single task over that small table, as
@@ -41,7 +46,7 @@ def uniform(id_col: Column, seed: str) -> Column:
 
 
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], rounds: int = ROUNDS, share: float = SHARE) -> DataFrame:
-    """cells: the dimensions and w > 0. Adds raked (weights that meet the targets) and probability (of drawing a document)."""
+    """cells: the dimensions and w > 0. Adds raked (weights that meet the targets), draws (expected ones of a document, above 1 too) and probability (of drawing it once at most)."""
     dims = list(targets)
     everything = Window.partitionBy()
     over = {d: Window.partitionBy(d) for d in dims}
@@ -69,11 +74,12 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], rounds:
     now = now.withColumn("first", F.min(F.when(F.col("scale") * F.col("factor") <= 1, F.col("place"))).over(everything))
     now = now.withColumn("scale", F.max(F.when(F.col("place") == F.col("first"), F.col("scale"))).over(everything))
     chance = F.when(F.lit(share >= 1), 1.0).otherwise(F.least(F.lit(1.0), F.coalesce(F.col("scale") * F.col("factor"), F.lit(1.0))))
-    return now.select(*dims, "w", "raked", chance.alias("probability"))
+    draws = F.lit(float(share)) * F.sum("w").over(everything) * F.col("factor") / F.sum("raked").over(everything)
+    return now.select(*dims, "w", "raked", draws.alias("draws"), chance.alias("probability"))
 
 
 def mixed(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, share: float = SHARE, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """Per row of docs: _row (the whole row), topic, tokens, probability and selected.
+    """Per row of docs: _row (the whole row), topic, tokens, probability, selected (both of drawing once at most) and times (drawn with repeats).
 
     Null sources and languages are values of their own; null texts are empty and weigh one token. Rows with one id are
     drawn together, those with a null id too. Further columns are carried in _row whatever their names; an empty table gives an
@@ -85,9 +91,11 @@ def mixed(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, sh
     at = row.select("_row", F.col("_row")[source_col].cast("string").alias("source"), F.col("_row")[lang_col].cast("string").alias("lang"), token_weight(text).alias("tokens"))
     at = at.withColumn("topic", topic_of(text, tokens))
     cells = at.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("w"))
-    raked = Saved(rake(Saved(cells, "cells").df, targets, rounds, share), "raked").df.select(*[F.col(d).alias(f"_{d}") for d in ("source", "lang", "topic")], "probability")
+    raked = Saved(rake(Saved(cells, "cells").df, targets, rounds, share), "raked").df.select(*[F.col(d).alias(f"_{d}") for d in ("source", "lang", "topic")], "probability", "draws")
     joined = at.join(raked, at.source.eqNullSafe(raked._source) & at.lang.eqNullSafe(raked._lang) & (at.topic == raked._topic))
-    return joined.select("_row", "topic", "tokens", "probability", (uniform(F.col("_row")[id_col], seed) < F.col("probability")).alias("selected"))
+    at_random, whole = uniform(F.col("_row")[id_col], seed), F.floor("draws")
+    times = (whole + (at_random < F.col("draws") - whole).cast("long")).cast("int")
+    return joined.select("_row", "topic", "tokens", "probability", (at_random < F.col("probability")).alias("selected"), times.alias("times"))
 
 
 def mixing_report(docs: DataFrame, **how) -> DataFrame:
@@ -96,8 +104,8 @@ def mixing_report(docs: DataFrame, **how) -> DataFrame:
 
 
 def keep_mixed(docs: DataFrame, **how) -> DataFrame:
-    """The rows drawn, all columns as they are."""
-    return mixed(docs, **how).filter("selected").select("_row.*")
+    """The rows drawn, all columns as they are, each as many times as it is drawn."""
+    return mixed(docs, **how).select("_row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("_row.*")
 
 
 def oracle_sql(rounds: int = ROUNDS, share: float = SHARE, seed: str = SEED, table: str = "documents") -> str:

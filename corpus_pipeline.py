@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the target shares of source, language and topic."""
+    """A sample, with repeats, whose expected tokens meet the target shares of source, language and topic."""
     return mixing.keep_mixed(docs)
 
 

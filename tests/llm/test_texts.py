@@ -92,6 +92,20 @@ def test_mixing_matches_its_sql_and_keeps_columns(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_draws_meet_the_targets_where_cells_are_taken_whole(spark):
+    cells = spark.createDataFrame([("a", "en", "x", 70), ("a", "fr", "x", 10), ("b", "en", "y", 10), ("b", "fr", "x", 5), ("b", "en", "x", 5)], "source string, lang string, topic string, w long")
+    got = mixing.rake(cells, {"source": {"a": 0.5, "b": 0.5}, "lang": {"en": 0.6, "fr": 0.4}, "topic": 1.0}, rounds=20, share=0.6).toPandas()
+    drawn = got.assign(t=got.w * got.draws)
+    assert got.draws.max() > 1 and math.isclose(drawn.t.sum(), 60.0, rel_tol=1e-9)
+    assert np.allclose(drawn.groupby("source").t.sum(), [30, 30], atol=1e-3) and np.allclose(drawn.groupby("lang").t.sum(), [36, 24], atol=1e-3)
+
+
+def test_kept_rows_meet_the_targets_by_repeats(spark):
+    df = spark.createDataFrame([(i, "a b c", "en", "rare" if i % 10 == 0 else "hot", 0.0, 0, 0, 0) for i in range(4_000)], DOCS)
+    n = Counter(r.source for r in mixing.keep_mixed(df, targets={"source": {"rare": 0.5, "hot": 0.5}, "lang": 1.0, "topic": 1.0}).collect())
+    assert abs(n["rare"] - 1_600) < 80 and abs(n["hot"] - 1_600) < 150
+
+
 def test_minimum_cut_against_all_cuts():
     rng = random.Random(1)
     for _ in range(200):
