@@ -89,3 +89,39 @@ def test_words_are_the_same_by_the_library_and_beside_marks():
     assert comma.startswith(word) and len(comma) > len(word)
     long = "▁" + "ab,cd.\n" * 20
     assert s.segment(long, 0) == plain.segment(long, 0)
+
+
+def test_each_occurrence_has_draws_of_its_own(spark):
+    s = Segmenter(PIECES, 0.1, seed=5)
+    word = "committee"
+    # repeats in a text, and copies in many documents
+    ids, cut = s.encode(" ".join([word] * 400)).tolist(), s.ids["▁committee"] if "▁committee" in s.ids else None
+    found, one = set(), []
+    for i in ids:
+        if s.spell[i].startswith(b" ") and one:
+            found.add(tuple(one))
+            one = []
+        one.append(i)
+    assert len(found) > 10 and (cut is None or (cut,) in found)
+    df = spark.createDataFrame([(i, "The committee met again on Tuesday") for i in range(200)], "doc_id long, text string")
+    got = segmentations(df, PIECES, seed=5).collect()
+    assert len({tuple(r.ids) for r in got}) > 50 and all(r.lossless for r in got)
+
+
+def test_what_is_kept_changes_nothing():
+    import careerlake.llm.merge_dropout as m
+
+    s, rng = Segmenter(PIECES, 0.2, seed=3), random.Random(6)
+    words = ["committee", "Tuesday,", "e.g.", "naïve", "中文", "12,000.5", "a", "gathering.\nAnother", "x" * 80]
+    for k in range(60):
+        t = " ".join(rng.choices(words, k=30))
+        fresh = Segmenter.__new__(Segmenter)
+        fresh.__dict__ = s.__dict__ | {"begin": {}, "later": {}, "old_begin": {}, "old_later": {}, "made": 0, "library": None}
+        assert s.encode(t, k).tolist() == fresh.encode(t, k).tolist() and s.decode(s.encode(t, k)) == t
+        s.made = m.KEPT if k % 7 == 0 else s.made  # the older generation goes
+
+
+def test_skips_are_as_frequent_as_the_rate():
+    s = Segmenter(PIECES, 0.1, seed=1)
+    n = sum(len(s.skipped(k, 10_000)) - 1 for k in range(50))
+    assert abs(n / 500_000 - 0.1) < 0.003 and s.skipped(1, 100)[:-1] == [x for x in s.skipped(1, 1_000) if x < 100]
