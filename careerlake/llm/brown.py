@@ -2,7 +2,7 @@
 
 Words are put into classes by exchange clustering: starting from classes by frequency, each item in turn moves to the class that
 raises the likelihood of the class bigrams most, until nothing moves. The most frequent words are items of their own; all other
-words are items by their form (script, ending, last mark), so that every word, known or not, has a class that a task can
+words are items by their form (script, ending, last mark), their contexts unseen, at every size of the corpus, so that every word, known or not, has a class that a task can
 tell without a table of the whole vocabulary. A text's probability is the product of smoothed class transitions and word
 emissions:
 
@@ -63,8 +63,11 @@ class Items(dict):
         return item
 
 
-def exchange(bigrams: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
-    """A class for each item: moves one item at a time to where sum n log n over class bigrams, less 2 sum n log n over classes, grows most."""
+def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
+    """A class for each item: moves one item at a time to where sum n log n over class bigrams, less 2 sum n log n over classes, grows most, until none moves.
+
+    Each move makes the sum grow, so no classes come again and it ends.
+    """
     n = len(bigrams)
     total = bigrams.sum(axis=1) + bigrams.sum(axis=0)
     order = np.argsort(-total, kind="stable")
@@ -77,8 +80,9 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     rows, columns = bigrams.sum(axis=1), bigrams.sum(axis=0)
     out, into = one.T @ rows, one.T @ columns
     xlogx = lambda v: v * np.log(np.maximum(v, 1e-300))
-    for _ in range(rounds):
-        moved = 0
+    moved = True
+    while moved:
+        moved = False
         for i in order:
             if not total[i]:
                 continue
@@ -106,14 +110,12 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
             out[b] += rows[i]
             into[b] += columns[i]
             if b != a:
-                moved += 1
+                moved = True
                 of[i] = b
                 right[:, a] -= bigrams[:, i]
                 right[:, b] += bigrams[:, i]
                 left[:, a] -= bigrams[i]
                 left[:, b] += bigrams[i]
-        if moved <= n // 200:
-            break
     return of
 
 

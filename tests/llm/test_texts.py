@@ -63,6 +63,20 @@ def test_exchange_separates_alternating_words():
     assert len(set(of[[0, 2, 4]])) == len(set(of[[1, 3, 5]])) == 1 and of[0] != of[1]
 
 
+def test_exchange_goes_on_until_no_move_raises_the_likelihood():
+    rng = np.random.default_rng(2)
+    b = rng.poisson(rng.gamma(0.3, 2.0, (240, 240))).astype(float)
+
+    def likelihood(of):
+        one = np.eye(4)[of]
+        x = lambda v: (v * np.log(np.maximum(v, 1e-300))).sum()
+        return x(one.T @ b @ one) - x(one.T @ b.sum(axis=1)) - x(one.T @ b.sum(axis=0))
+
+    of = brown.exchange(b, 4)
+    best = likelihood(of)
+    assert all(likelihood(np.where(np.arange(240) == i, c, of)) <= best + 1e-6 for i in range(240) for c in range(4))
+
+
 def test_no_training_texts(spark):
     got = brown.class_model_scores(table(spark, ["a b", None]), F.lit(False)).collect()
     assert [(r.score, r.base_score, r.n_known, r.train_tokens) for r in got] == [(0.0, 0.0, 0, 0)] * 2
