@@ -66,7 +66,7 @@ class Items(dict):
 def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
     """A class for each item: moves one item at a time to where sum n log n over class bigrams, less 2 sum n log n over classes, grows most, until none moves.
 
-    Each move makes the sum grow, so no classes come again and it ends.
+    Each move makes the sum grow by more than rounding, so no classes come again and it ends.
     """
     n = len(bigrams)
     total = bigrams.sum(axis=1) + bigrams.sum(axis=0)
@@ -80,6 +80,7 @@ def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
     rows, columns = bigrams.sum(axis=1), bigrams.sum(axis=0)
     out, into = one.T @ rows, one.T @ columns
     xlogx = lambda v: v * np.log(np.maximum(v, 1e-300))
+    least = 1e-9 + 1e-13 * xlogx(bigrams.sum())  # what a move must gain: above rounding, or it might not end
     moved = True
     while moved:
         moved = False
@@ -102,7 +103,7 @@ def exchange(bigrams: np.ndarray, classes: int) -> np.ndarray:
             gain += xlogx(d + r + l + loop) - xlogx(d + r) - xlogx(d + l) + xlogx(d)
             gain -= xlogx(out + rows[i]) - xlogx(out) + xlogx(into + columns[i]) - xlogx(into)
             b = int(np.argmax(gain))
-            if gain[b] <= gain[a] + 1e-9:
+            if gain[b] <= gain[a] + least:
                 b = int(a)
             both[b] += r
             both[:, b] += l
