@@ -114,6 +114,29 @@ def test_draws_meet_the_targets_where_cells_are_taken_whole(spark):
     assert np.allclose(drawn.groupby("source").t.sum(), [30, 30], atol=1e-3) and np.allclose(drawn.groupby("lang").t.sum(), [36, 24], atol=1e-3)
 
 
+@pytest.mark.parametrize("few", [0, 100])
+def test_plans_of_raking_do_not_grow_with_the_rounds(spark, monkeypatch, few):
+    """Rounds that never meet the tolerance, against the same in numpy; no cells and targets of 0 too."""
+    cells = spark.createDataFrame([("a", "en", "x", 70), ("a", None, "x", 10), (None, "en", "y", 10), (None, None, "x", 5), (None, "en", "x", 5)], "source string, lang string, topic string, w long")
+    monkeypatch.setattr(mixing, "FEW_CELLS", few)
+    r = mixing._Raking(cells, {"source": 0.5, "lang": 0.3, "topic": 1.0})
+    assert len(r.sql(mixing.AT_ONCE)) < 10_000
+    r.run(6, -1.0)
+    got = {(x.source, x.lang, x.topic): x.raked for x in r.raked().collect()}
+    keys, w = zip(*[((x.source, x.lang, x.topic), x.w) for x in cells.collect()], strict=True)
+    now = np.array(w, float) / sum(w)
+    for _ in range(6):
+        for d, power in enumerate((0.5, 0.3, 1.0)):
+            values = sorted({k[d] for k in keys}, key=repr)
+            at = np.array([values.index(k[d]) for k in keys])
+            want = np.bincount(at, w) ** power
+            now = now * (want / want.sum())[at] / np.bincount(at, now)[at]
+    assert np.allclose([got[k] for k in keys], now, rtol=1e-9)
+    none = mixing.rake(cells, {"source": {"a": 1.0}, "lang": 1.0, "topic": 1.0}, rounds=4, share=0.5).collect()
+    assert all((x.raked > 0) == (x.source == "a") for x in none)
+    assert mixing.rake(cells.limit(0), {"source": 1.0, "lang": 1.0}).count() == 0
+
+
 def test_kept_rows_meet_the_targets_by_repeats(spark):
     df = spark.createDataFrame([(i, "a b c", "en", "rare" if i % 10 == 0 else "hot", 0.0, 0, 0, 0) for i in range(4_000)], DOCS)
     n = Counter(r.source for r in mixing.keep_mixed(df, targets={"source": {"rare": 0.5, "hot": 0.5}, "lang": 1.0, "topic": 1.0}).collect())
