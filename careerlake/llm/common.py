@@ -87,5 +87,12 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def filter_arrow(docs: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+    """map_arrow with a function that only drops rows; columns keep their names, dots and all."""
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    return map_arrow(plain, make, plain.schema).toDF(*names)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

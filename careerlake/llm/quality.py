@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careerlake.llm.common import Saved, as_bytes, map_arrow, texts
+from careerlake.llm.common import filter_arrow, Saved, as_bytes, map_arrow, texts
 from careerlake.llm.toxicity import clean_labels
 
 UPPER = bytes(range(65, 91))
@@ -141,7 +141,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train: Column, threshold:
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns as they are, whose texts are predicted good."""
+    """The rows of docs, all columns as they are whatever their names, whose texts are predicted good.
+
+    Null texts are empty, repeated rows are judged alike, rows with a null id too; an empty table gives an empty result.
+    """
     at = docs.columns.index(text_col)
 
     def make():
@@ -151,4 +154,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: s
 
         return run
 
-    return map_arrow(docs.select(*docs.columns), make, docs.schema)
+    return filter_arrow(docs, make)

@@ -51,6 +51,66 @@ def test_identity_swaps_spare_neutral_mentions(spark):
     assert plain > 0.7 > 0.5 > paired
 
 
+def test_neutral_words_are_found_and_swapped(spark):
+    """No listed name occurs: the words of both classes are swapped for those they occur with, and the gap under swaps falls."""
+    rng = np.random.default_rng(3)
+    north, south = ["nar", "nebo", "nilu", "noket"], ["sar", "sebo", "silu", "soket"]
+    data = []
+    for i in range(600):
+        bad = i % 3 == 0
+        side = north if (i % 2 if bad else i % 5 < 1) else south  # north is named more in toxic texts
+        data.append((" ".join([*rng.choice(side, 2, replace=False), *rng.choice(["river", "stone", "light"], 3), *(["scum"] if bad and i % 4 else [])]), int(bad)))
+    d = docs(spark, [t for t, _ in data])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(data)], "doc_id long, toxic int")
+    paired = toxicity.fit(d, labels, F.lit(True), pairing=5.0)
+    plain = toxicity.fit(d, labels, F.lit(True), pairing=0.0)
+    assert paired.swapped > 100 and all(paired.swaps[paired.swaps[w]] == w for w in north + south if w in paired.swaps)
+    assert all((a in north) == (b in north) for a, b in paired.swaps.items() if a in north + south and b in north + south)
+
+    def gap(model):
+        logit = lambda t: np.log(model.scorer()(t) / (1 - model.scorer()(t)))
+        other = lambda t: " ".join(paired.swaps.get(w, w) for w in t.split())
+        return np.mean([abs(logit(t) - logit(other(t))) for t, _ in data[:100]])
+
+    assert gap(paired) < 0.5 * gap(plain) or gap(plain) < 1e-6
+
+
+def test_partners_occur_together():
+    assert toxicity.partners(["a", "b", "c", "d", "e"], [[0, 2], [0, 2], [1, 3], [1, 3, 0], [4]]) == {"a": "c", "c": "a", "b": "d", "d": "b"}
+    assert toxicity.partners([], []) == {} and toxicity.partners(["a"], [[0]]) == {}
+
+
+def test_weights_against_plain_descent():
+    rng = np.random.default_rng(4)
+    xs = [sorted(set(rng.choice(6, 3).tolist())) for _ in range(80)]
+    y = [int(rng.random() < (0.8 if 0 in x else 0.3)) for x in xs]
+    others = [sorted({1 if i == 0 else 0 if i == 1 else i for i in x}) if {0, 1} & set(x) else None for x in xs]
+    others = [None if o == x else o for x, o in zip(xs, others, strict=True)]
+    bias, w = toxicity.train_weights(y, xs, [others], 6, 0.7, 0.01)
+    a, b = np.zeros((80, 6)), np.zeros((80, 6))
+    for k, (x, o) in enumerate(zip(xs, others, strict=True)):
+        a[k, x] = 1
+        b[k, x if o is None else o] = 1
+    v, pairs = np.zeros(7), sum(o is not None for o in others)
+    for _ in range(40_000):
+        p = 1 / (1 + np.exp(-(a @ v[1:] + v[0])))
+        g = a.T @ (p - y) / 80 + 0.01 * v[1:] + 2 * 0.7 / pairs * (a - b).T @ ((a - b) @ v[1:])
+        v -= 0.2 * np.append((p - y).mean(), g)
+    assert np.allclose(np.append(bias, w), v, atol=1e-2)
+
+
+def test_dotted_columns_and_repeated_rows_stay(spark):
+    data = toxic_set(90)
+    d = docs(spark, [t for t, _ in data])
+    labels = spark.createDataFrame([(i, y, 1 - y) for i, (_, y) in enumerate(data)], "doc_id long, toxic int, quality int")
+    model = toxicity.fit(d, labels, F.lit(True))
+    odd = d.select("doc_id", "text", F.lit(1).alias("a.b")).unionAll(spark.createDataFrame([(None, None, 2), (0, data[1][0], 3), (0, data[1][0], 3)], "doc_id long, text string, x int"))
+    kept = toxicity.keep_clean(odd, model)
+    assert kept.columns == odd.columns and kept.count() == 63
+    good = quality.keep_good(odd, quality.fit(quality.document_statistics(d), labels, F.lit(True)))
+    assert good.columns == odd.columns and good.count() <= 93
+
+
 def test_swap_is_within_a_kind():
     s = toxicity.swaps({"a": ["x", "y"], "b": ["z", "w"]})
     assert s == {"x": "y", "y": "x", "z": "w", "w": "z"}
