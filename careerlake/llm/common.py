@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,8 +19,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text (null: empty), so that further columns can't clash."""
-    return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """Only the id and the text (null: empty; bytes that aren't UTF-8: U+FFFD), so that further columns can't clash."""
+    return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.make_valid_utf8(F.col(text_col).cast("string")), F.lit("")).alias("text"))
 
 
 def id_hash(col: str = "doc_id") -> Column:
@@ -32,12 +33,14 @@ def held_out(mod: int, rest: int, col: str = "doc_id") -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a session without one (tests) gets a local one."""
+    """The folder that driver and executors share; a session without one (tests) gets a local one, if it runs on this machine alone."""
     ctx = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         known = ctx._jsc.sc().getCheckpointDir()
         if known.isEmpty():
+            if not re.fullmatch(r"local(\[[^\]]*\])?", ctx.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             ctx.setCheckpointDir(tempfile.mkdtemp(prefix="careerlake-"))
             known = ctx._jsc.sc().getCheckpointDir()
         found = known.get()

@@ -1,10 +1,11 @@
 """Main text of web pages by minimum-cut labelling.
 
 A page is cut into blocks: the text between starts and ends of block-level elements. A logistic classifier, trained below on
-labelled snippets, gives each block a cost for either label from its element, its ancestors, its links and its words; the costs
-become the capacities of edges from the source and to the sink. Blocks that follow each other, and consecutive blocks of one parent,
-are joined by edges whose capacity falls with their distance in the tree. A minimum cut of this graph labels the blocks: a
-block with weak evidence goes with what is around it, at the least total cost.
+labelled snippets, gives each block a cost for either label from its own text, its links and what its ancestors say against it; the
+costs become the capacities of edges from the source and to the sink. Blocks that follow each other, and consecutive blocks of one
+parent, are joined by edges whose capacity falls with their distance in the tree, and blocks within an article (or what else
+says that it is the main text) are joined to a node for it, which leans to the source. A minimum cut of this graph labels the
+blocks: a heading or a short line without a sentence goes with what is around it, at the least total cost.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert tablist toolbar".split())
 AWAY_WORDS = frozenset("nav navbar navigation menu submenu header masthead topbar footer foot sidebar side rail aside ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot sponsor sponsored sponsors promo promoted promotion promotions banner cookie cookies consent gdpr notice notices notification notifications alert alerts disclaimer comment comments commentlist disqus respond replies reply discussion social share sharing sharebar follow related recommended recommendations recirc outbrain taboola breadcrumb breadcrumbs newsletter newsletters subscribe subscription signup signin login register modal popup overlay widget widgets copyright copy legal pagination pager paging toc tags taglist toolbar skip search searchbox paywall".split())
 MAIN_WORDS = frozenset("article content contents post entry story main body text maincontent articlebody prose hentry".split())
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>""", re.S)
+NAME = re.compile(r"</?[A-Za-z][^\s/>]*")
+MARKS = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"""([^\s=>/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SENTENCE = re.compile(r"[.!?…。](?:\s|$|[\"'”’)])")
@@ -47,12 +49,13 @@ def _raw_end(tag: str) -> re.Pattern:
 
 
 class Element:
-    __slots__ = ("tag", "depth", "up", "main", "away", "hidden", "control", "last")
+    __slots__ = ("tag", "depth", "up", "main", "region", "away", "hidden", "control", "last")
 
     def __init__(self, tag: str, up: Element | None, attributes: str):
         self.tag, self.up = tag, up
         self.depth = up.depth + 1 if up else 0
         self.main = up.main if up else False
+        self.region = up.region if up else None  # the innermost element that says it holds the main text
         self.away = up.away if up else 0
         self.hidden = up.hidden if up else False
         self.control = (up.control if up else False) or tag in CONTROLS
@@ -71,6 +74,7 @@ class Element:
         within = self.main
         if tag in ("article", "main") or role in ("main", "article") or marks & MAIN_WORDS and tag in ("div", "section", "td"):
             self.main = True
+            self.region = self
         away = marks & AWAY_WORDS
         if within:
             away -= {"header", "masthead"}  # an article's own head
@@ -88,12 +92,90 @@ class Block:
         self.before = at.last  # the block before it of the same parent
 
 
+class Tags:
+    """A page's tags from left to right, in time linear in its length whatever it holds."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.unended: set[int] = set()  # places from where no tag ends, with every quote closed before
+
+    def end(self, place: int) -> int:
+        """Where the tag whose name ends here ends, by its quotes; if those don't close, at the next >."""
+        page, at, seen = self.page, place, []
+        while at not in self.unended:
+            m = MARKS.search(page, at)
+            if m is None:
+                break
+            if m[0] == ">":
+                return m.start()
+            close = page.find(m[0], m.end()) if m.end() <= self.last else -1
+            if close < 0:
+                break
+            seen.append(at)
+            at = close + 1
+        self.unended.update(seen)
+        return page.find(">", place)
+
+    def next(self, place: int) -> tuple[int, int, str, str]:
+        """Start and end of the next tag or comment, its name (with a slash if it closes, empty if neither) and attributes; the page's end if there is none."""
+        page = self.page
+        while True:
+            start = page.find("<", place)
+            if start < 0:
+                return len(page), len(page), "", ""
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", ""
+            if start > self.last:
+                return len(page), len(page), "", ""
+            if page.startswith(("<!", "<?"), start):
+                return start, page.find(">", start) + 1, "", ""
+            m = NAME.match(page, start)
+            if m is None:
+                place = start + 1
+                continue
+            end = self.end(m.end())
+            return start, end + 1, m[0][1:], page[m.end() : end]
+
+
+class Open:
+    """The open elements: the current one, and the innermost of each name."""
+
+    def __init__(self):
+        self.here = Element("", None, "")
+        self.of: dict[str, list[Element]] = {}
+        self.scopes: list[int] = [-1]  # depths of open elements that end the search for some others
+
+    def start(self, tag: str, attributes: str) -> None:
+        self.here = Element(tag, self.here, attributes)
+        self.of.setdefault(tag, []).append(self.here)
+        if tag in SCOPES:
+            self.scopes.append(self.here.depth)
+
+    def up(self) -> None:
+        self.of[self.here.tag].pop()
+        if self.here.tag in SCOPES:
+            self.scopes.pop()
+        self.here = self.here.up
+
+    def end(self, tag: str, within: tuple[str, ...] = ()) -> None:
+        """Ends the innermost element of this name and what is in it; within: not beyond scopes and these."""
+        found = self.of.get(tag)
+        if not found:
+            return
+        e = found[-1]
+        if within and (e.depth < self.scopes[-1] or any(self.of.get(t) and e.depth < self.of[t][-1].depth for t in within)):
+            return
+        while self.here is not e.up:
+            self.up()
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, without those of head, scripts, styles and other raw elements."""
     out: list[Block] = []
-    here = Element("", None, "")
+    at = Open()
     parts: list[str] = []
-    links = in_link = linked = 0
+    in_link = linked = 0
     place = 0
 
     def flush() -> None:
@@ -101,8 +183,8 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                b = Block(here, text, min(linked, len(text)))
-                here.last = len(out)
+                b = Block(at.here, text, min(linked, len(text)))
+                at.here.last = len(out)
                 out.append(b)
         parts, linked = [], 0
 
@@ -113,19 +195,15 @@ def blocks(page: str) -> list[Block]:
         if in_link:
             linked += len(text)
 
-    size = len(page)
+    size, tags = len(page), Tags(page)
     while place < size:
-        m = TAG.search(page, place)
-        if m is None:
-            add(page[place:])
-            break
-        if m.start() > place:
-            add(page[place : m.start()])
-        place = m.end()
-        name = m[2] or m[5]
-        if name is None:
+        start, following, name, attributes = tags.next(place)
+        if start > place:
+            add(page[place:start])
+        place = following
+        if not name:
             continue
-        tag, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
+        closing, tag = name[0] == "/", name.lstrip("/").lower()
         if tag in RAW:
             if not closing and not attributes.rstrip().endswith("/"):
                 end = _raw_end(tag).search(page, place)
@@ -144,31 +222,21 @@ def blocks(page: str) -> list[Block]:
             continue
         in_link = 0 if tag not in HEADINGS and tag != "div" and tag != "p" else in_link
         if closing:
-            e = here
-            while e is not None and e.tag != tag:
-                e = None if e.tag in SCOPES and tag in ("p", "li", "dt", "dd") else e.up
-            if e is not None and e.up is not None:
-                here = e.up
+            at.end(tag, ("",) if tag in ("p", "li", "dt", "dd") else ())
             continue
         for of, by in ENDED_BY.items():
-            if tag in by and here.tag == of:
-                here = here.up
+            if tag in by and at.here.tag == of:
+                at.up()
                 break
-        if tag in CLOSES_P and here.tag == "p":
-            here = here.up
-        if tag in HEADINGS and here.tag in HEADINGS:
-            here = here.up
-        if tag == "body" and here.tag == "head":
-            here = here.up
+        if tag in CLOSES_P and at.here.tag == "p":
+            at.up()
+        if tag in HEADINGS and at.here.tag in HEADINGS:
+            at.up()
+        if tag == "body" and at.here.tag == "head":
+            at.up()
         if tag == "li":
-            e = here
-            while e.up is not None and e.tag not in ("ul", "ol", "menu", "li"):
-                if e.tag in SCOPES:
-                    break
-                e = e.up
-            if e.tag == "li":
-                here = e.up
-        here = Element(tag, here, attributes)
+            at.end("li", ("menu",))
+        at.start(tag, attributes)
     flush()
     return [b for b in out if not _in_head(b)]
 
@@ -177,29 +245,28 @@ def _in_head(b: Block) -> bool:
     return b.at.tag == "head"
 
 
-FEATURES = ("bias", "main", "away", "twice_away", "hidden", "control", "heading", "paragraph", "item", "linked", "length", "sentence", "away_in_main")
+FEATURES = ("bias", "away", "twice_away", "hidden", "control", "heading", "linked", "length", "sentence")
 
 
 def describe(b: Block) -> list[float]:
     e, n = b.at, b.text.count(" ") + 1
     return [
         1.0,
-        float(e.main),
         float(e.away > 0),
         float(e.away > 1),
         float(e.hidden),
         float(e.control),
         float(e.tag in HEADINGS),
-        float(e.tag in ("p", "pre", "blockquote", "figcaption")),
-        float(e.tag in ("li", "dt", "dd", "td", "th")),
         b.linked / len(b.text),
         min(1.0, math.log1p(n) / 5),
         float(SENTENCE.search(b.text) is not None),
-        float(e.main and e.away > 0),
     ]
 
 
+PENALTY, ADJACENCY, PROXIMITY, REGION = 0.1, 1.5, 1.5, 2.5
 PROSE = "The committee met again on Tuesday to weigh the second proposal, which had drawn letters from most of the region. No vote was taken."
+LINE = "Rain fell over the lower valley all night."
+SHORT = "Nothing more was said"
 #: Labelled snippets: page, and what of its blocks is content (1) or not (0), in order.
 EXAMPLES = (
     (f"<nav><ul><li><a href=/>Home</a><li><a href=/news>News</a></ul></nav><article><h1>A plan for the river</h1><p>{PROSE}<p>Yes.<p>{PROSE}</article><footer>&copy; River Times. All rights reserved.</footer>", "00111" + "10"),
@@ -210,13 +277,23 @@ EXAMPLES = (
     (f"<div><a href=/a>Start</a></div><div><a href=/b>Archive</a></div><p>{PROSE}</p><p>{PROSE}</p><table><tr><td>{PROSE}</td><td>Rain, wind and snow were measured.</td></tr></table><div>Copyright</div><div><a href=/c>Contact</a></div>", "00" + "1111" + "00"),
     (f"<article><h1>Short</h1><p>No.</p><p>Rain</p><figcaption>The old mill</figcaption><table><tr><td>12</td><td>Mill</td></tr></table><div hidden><p>{PROSE}</p></div><nav><a href=/2>Next</a></nav></article><div class=sidebar><p>{PROSE}</p></div>", "111" + "1" + "11" + "0" + "0" + "0"),
     (f"<main><p><a href=/s>The whole report on the second proposal is here</a></p><p>{PROSE}</p><div>Plain words in a box</div></main><section class=newsletter><p>{PROSE}</p></section><div role=navigation><p>You are here</p></div>", "111" + "0" + "0"),
+    (f"<div><a href=/>Menu</a></div><h1>Notes</h1><p>{LINE}</p><p>{SHORT}</p><p>{PROSE}</p><p>12 | 14</p><p>{LINE}</p><div><a href=/m>Sitemap</a></div>", "0" + "111111" + "0"),
+    (f"<section><h3>Method</h3><p>{PROSE}</p><div>{LINE}</div><div>{PROSE}</div></section><nav><p>{LINE}</p></nav><footer><p>{PROSE}</p></footer>", "1111" + "0" + "0"),
+    (f"<article><h1>{SHORT}</h1><p>{SHORT}</p></article><aside>{LINE}</aside><div class=comments><article><p>{LINE}</p><p>{PROSE}</p></article></div>", "11" + "0" + "00"),
+    (f"<article><h2>Wells</h2><p>{PROSE}</p><p style='display: none'>{PROSE}</p><p aria-hidden=true>{LINE}</p></article><div hidden>{PROSE}</div><section hidden><h2>{LINE}</h2><p>{PROSE}</p></section>", "11" + "00" + "0" + "00"),
     (f"<article><div class=share><a href=/f>Share</a></div><p>{PROSE}</p><aside><p>{PROSE}</p></aside><form><p>{PROSE}</p><label>Name</label></form></article>", "0" + "1" + "0" + "00"),
 )
+#: Labelled lines on their own: what pages say around their text without marking it, and text.
+AROUND = ("Menu", "Log in", "Share", "Read more", "Subscribe now", "Next page", "Site map", "Contact us", "All rights reserved", "Print this page", "Back to top", "Privacy policy", "Terms of use", "Most popular", "Follow us", "5 comments", "Advertisement", "Skip to content", "Copyright", "Sign up today", "Search", "Previous", "Home", "About the site", "Tags")
+TEXT = (PROSE, PROSE, LINE, LINE, LINE + " " + PROSE, "No vote was taken.", "The river rose by two metres in a day, said the mayor.", PROSE + " " + LINE, "They left in June.", LINE + " " + LINE)
 
 
 @cache
 def weights() -> np.ndarray:
-    """The classifier, fitted to EXAMPLES by damped Newton steps with an L2 penalty."""
+    """The classifier, fitted to EXAMPLES by damped Newton steps with an L2 penalty that keeps its log odds moderate.
+
+    It sees a block alone, not whether it lies in an article: that comes from its neighbours, by the cut.
+    """
     x, y = [], []
     for page, labels in EXAMPLES:
         found = blocks(page)
@@ -224,12 +301,15 @@ def weights() -> np.ndarray:
             raise ValueError(f"{len(found)} blocks, {len(labels)} labels: {[b.text for b in found]}")
         x += [describe(b) for b in found]
         y += [int(c) for c in labels]
+    page = "".join(f"<div>{line}</div>" for line in AROUND + TEXT)
+    x += [describe(b) for b in blocks(page)]
+    y += [0] * len(AROUND) + [1] * len(TEXT)
     a, t = np.array(x), np.array(y, float)
     w = np.zeros(a.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-a @ w))
-        g = a.T @ (p - t) + 0.05 * w
-        h = (a * (p * (1 - p))[:, None]).T @ a + 0.05 * np.eye(len(w))
+        g = a.T @ (p - t) + PENALTY * w
+        h = (a * (p * (1 - p))[:, None]).T @ a + PENALTY * np.eye(len(w))
         step = np.linalg.solve(h, g)
         w -= step / max(1.0, np.abs(step).max() / 2)
     return w
@@ -246,17 +326,25 @@ def tree_distance(a: Element, b: Element) -> int:
     return n
 
 
-def edges_of(found: list[Block], adjacency: float = 0.6, proximity: float = 0.4) -> list[tuple[int, int, float]]:
-    out = []
+def graph_of(found: list[Block], gain: list[float], adjacency: float = ADJACENCY, proximity: float = PROXIMITY, region: float = REGION) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """Gains of the blocks and, after them, of the elements that say they hold the main text; edges between blocks and to those."""
+    out, gain = [], list(gain)
     for i in range(1, len(found)):
-        out.append((i - 1, i, adjacency / (1 + tree_distance(found[i - 1].at, found[i].at)) ** 2))
+        out.append((i - 1, i, adjacency / (1 + tree_distance(found[i - 1].at, found[i].at))))
     last: dict[int, int] = {}
+    nodes: dict[int, int] = {}
     for i, b in enumerate(found):
         up = id(b.at.up)
         if up in last and last[up] != i - 1:
             out.append((last[up], i, proximity / (1 + tree_distance(found[last[up]].at, b.at))))
         last[up] = i
-    return out
+        e = b.at.region
+        if e is not None and not (b.at.away or b.at.hidden):  # what is marked against being text isn't drawn in
+            if id(e) not in nodes:
+                nodes[id(e)] = len(gain)
+                gain.append(2 * region)
+            out.append((nodes[id(e)], i, region))
+    return gain, out
 
 
 def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -339,17 +427,17 @@ def extract(page: str, w: np.ndarray | None = None) -> str:
         return ""
     w = weights() if w is None else w
     gain = (np.array([describe(b) for b in found]) @ w).tolist()
-    content = minimum_cut(gain, edges_of(found))
-    return "\n".join(b.text for b, c in zip(found, content, strict=True) if c)
+    content = minimum_cut(*graph_of(found, gain))
+    return "\n".join(b.text for b, c in zip(found, content, strict=False) if c)
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row: id, url, text and n_chars (code points) of the page's main text.
 
     Null html is empty and gives an empty text; a null url stays null. Repeated rows each give a row; further columns are ignored;
-    an empty table gives an empty result. Pages of any length are done whole.
+    an empty table gives an empty result. Bytes that aren't UTF-8 become U+FFFD. Pages of any length are done whole.
     """
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.make_valid_utf8(F.col(html_col).cast("string")), F.lit("")).alias("html"))
     kind = rows.schema["page_id"].dataType.simpleString()
     w = weights()
 

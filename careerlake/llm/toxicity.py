@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careerlake.llm.common import Saved, filter_arrow, map_arrow, texts
+from careerlake.llm.common import Saved, as_bytes, filter_arrow, map_arrow, texts
 
 #: Names of groups, by kind; a swap stays within the kind.
 IDENTITY = {
@@ -318,7 +318,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text_col:
         score = model.scorer()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array([score(t or "") < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+            return batch.filter(pa.array([score((t or b"").decode("utf-8", "replace")) < threshold for t in as_bytes(batch.column(at))], pa.bool_()))
 
         return run
 

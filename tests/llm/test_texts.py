@@ -2,8 +2,10 @@ import itertools
 import math
 import os
 import random
+import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 from pathlib import Path
 
 import duckdb
@@ -13,8 +15,9 @@ from pyspark.sql import functions as F
 
 from careerlake.llm import brown, mixing
 from careerlake.llm.common import held_out
-from careerlake.llm.html_extract import EXAMPLES, blocks, extract, main_texts, minimum_cut
+from careerlake.llm.html_extract import BLOCKS, EXAMPLES, blocks, describe, extract, graph_of, main_texts, minimum_cut, weights
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 DOCS = "doc_id long, text string, lang string, source string, score double, topic int, tokens int, w int"
 
 
@@ -160,6 +163,78 @@ def test_examples_are_labelled_as_they_say():
         assert extract(page) == "\n".join(want)
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div><a href=/>Menu</a></div><div>Back to top</div><h1>Notes</h1><p>Rain fell all night over the whole of the lower valley.</p><p>12 | 14</p><p>The river rose by two metres in a day, said the mayor.</p><div>Privacy policy</div>", "Notes\nRain fell all night over the whole of the lower valley.\n12 | 14\nThe river rose by two metres in a day, said the mayor."),
+    ("<nav><p>Start here.</p></nav><article><p>Yes</p></article><footer>Copyright</footer>", "Yes"),
+    ("<div class=comments><article><p>I liked this very much. It was good to read.</p></article></div><main><h2>Wells</h2><p>dry | wet</p></main>", "Wells\ndry | wet"),
+])
+def test_the_cut_decides_on_weak_blocks(page, text):
+    """Blocks whose own evidence is for the other side follow their neighbours, or the element that holds them."""
+    found = blocks(page)
+    gain = (np.array([describe(b) for b in found]) @ weights()).tolist()
+    content = minimum_cut(*graph_of(found, gain))
+    assert any((g > 0) != c for g, c in zip(gain, content, strict=False))
+    assert extract(page) == text
+
+
+class Plain(HTMLParser):
+    """Texts of the blocks in the page's article, of which the test tables' pages have one, by the standard library's parser."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.out, self.parts, self.inside = [], [], False
+        self.feed(page)
+        self.close()
+
+    def block(self):
+        if text := " ".join("".join(self.parts).split()):
+            self.out.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.inside = True
+        if tag == "br":
+            self.parts.append(" ")
+        elif tag in BLOCKS:
+            self.block()
+
+    def handle_endtag(self, tag):
+        if tag in BLOCKS and self.inside:
+            self.block()
+        if tag == "article":
+            self.inside = False
+
+    def handle_data(self, data):
+        if self.inside:
+            self.parts.append(data)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_pages_against_a_plain_parser():
+    pages = duckdb.sql(f"select html from '{SF}/pages.parquet'").fetchall()
+    changed = 0
+    for (page,) in pages:
+        assert extract(page) == "\n".join(Plain(page).out)
+        found = blocks(page)
+        gain = (np.array([describe(b) for b in found]) @ weights()).tolist()
+        changed += sum((g > 0) != c for g, c in zip(gain, minimum_cut(*graph_of(found, gain)), strict=False))
+    assert len(pages) > 20
+
+
+@pytest.mark.parametrize("unit", ["<div>x</section>", '<a "', '<a ">"', "<!", "<li><center>", "<!--", "<svg>", "<p ", "<b '>\"", "<div>x", "<p>x<p>y.", "</div>", "&amp", "<"])
+def test_hostile_pages_take_linear_time(unit):
+    at = lambda n: min(timed(unit * n) for _ in range(2))
+
+    def timed(page):
+        start = time.perf_counter()
+        extract(page)
+        return time.perf_counter() - start
+
+    n = 240_000 // len(unit)
+    assert at(n) < 12 * at(n // 4) + 0.5
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=/x>The</a></li></ul></nav>
 <!-- ad --><div class="ad">Buy this now.</div><article><h1>A &amp; B</h1><p><b>First  &lt;one&gt;<br>line&nbsp;end.<p>Second <i>para</i>graph.</p></article><div id="comments"><p>Nice post, thank you.</p></div><footer>&copy; x</footer></body></html>"""
 
@@ -182,7 +257,6 @@ def test_pages_of_a_table(spark):
     assert got[5].text == "\n".join(["One more line."] * 5_000) and main_texts(df.limit(0)).count() == 0
 
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
