@@ -58,6 +58,44 @@ def test_probabilities_add_up_to_one(spark):
     assert np.allclose(emitted + 10**m.emission, 1)
 
 
+def test_scores_against_a_plain_model(spark):
+    """Counts, classes' tables and scores computed again one token at a time, from the classes alone; repeated rows and null ids too."""
+    lines = [*two_languages(80), None, "", "never seen", "en1 en1. EN1"]
+    df = table(spark, lines).unionAll(spark.createDataFrame([(None, "en1 fr1 new", None, None, 0.0, 0, 0, 0), (3, lines[3], None, None, 0.0, 0, 0, 0)], DOCS))
+    learnt = brown.learn(df.select(F.coalesce("text", F.lit("")).alias("text")), own=20, known=90, classes=5, mu=3.0)
+    m, item = learnt.model, brown.Items(learnt.model.frequent)
+    every = [[w.encode() for w in (t or "").lower().split()] + [brown.END] for t in [*lines, "en1 fr1 new", lines[3]]]
+    of = lambda w: int(m.classes[item[w]])
+    n = Counter(w for t in every for w in t)
+    size = [1 + sum(c + 1 for w, c in n.items() if of(w) == k) for k in range(5)]
+    both = Counter((of(a), of(b)) for t in every for a, b in zip([brown.END, *t], t, strict=False))
+    begun = [sum(both[b, c] for c in range(5)) for b in range(5)]
+    p = lambda b, c: (both[b, c] + 3.0 * size[c] / sum(size)) / (begun[b] + 3.0)
+    want = [sum(math.log10(p(of(a), of(b)) * (n[b] + 1) / size[of(b)]) for a, b in zip([brown.END, *t], t, strict=False)) for t in every]
+    got = brown.text_scores(df, learnt).collect()
+    assert len(got) == len(every) and np.allclose(sorted(r.score for r in got), sorted(want))
+    assert all(math.isclose(r.perplexity, 10 ** (-r.score / r.n_tokens)) for r in got)
+    assert {r.n_tokens for r in got if r.doc_id is None} == {4}
+
+
+def test_words_of_the_table_move_to_their_likeliest_class(spark):
+    df = table(spark, two_languages(60)).select("text")
+    words = brown.count_words(df)
+    found = brown.table_of(words, 1_000)
+    local = brown.encode(df.select(F.lit(0).alias("doc_id"), "text", F.lit(True).alias("learns")), [w for w, _ in found], np.array([n for _, n in found]), "int")
+    rng = np.random.default_rng(5)
+    of, t, e = rng.integers(0, 4, brown.FORMS + len(found)), rng.normal(size=(4, 4)), rng.normal(size=4)
+    first = brown.FORMS + 10
+    at, to = brown._moves(local.repartition(7), of, first, t, e)
+    item = brown.Items([w for w, _ in found])
+    gain = np.zeros((len(of), 4))
+    for line in two_languages(60):
+        x = [item[brown.END], *(item[w.encode()] for w in line.lower().split()), item[brown.END]]
+        for a, b, c in zip(x, x[1:], x[2:], strict=False):
+            gain[b] += t[of[a]] + t[:, of[c]] + e
+    assert sorted(at) == list(range(first, len(of))) and all(gain[i].argmax() == c for i, c in zip(at, to, strict=True))
+
+
 def test_exchange_separates_alternating_words():
     b = np.zeros((6, 6))
     for i, j in itertools.product((0, 2, 4), (1, 3, 5)):
