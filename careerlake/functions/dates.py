@@ -8,49 +8,61 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from careerlake.functions.text import strip
 
 
-def lenient_date(run_date: str):
-    """An Arrow-batched UDF: any text that dateutil reads as a date, month before day, as yyyy-MM-dd; else null.
+@F.pandas_udf(StringType())
+def lenient_date(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Any text that dateutil reads as a date, month before day, as yyyy-MM-dd; else null.
 
-    What a text leaves out is taken from run_date, so that the same text gives the same date on every run of a day.
+    What a text leaves out is taken from the second column, the run's date, so that the same text gives the same date on every run of a day;
+    without one, or if it isn't a date, only whole dates are read.
     """
+    from dateutil import parser
 
-    @F.pandas_udf("string")
-    def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from dateutil import parser
+    known: dict[tuple[str, str | None], str | None] = {}
 
-        default = datetime.fromisoformat(run_date)
-        known: dict[str, str | None] = {}
+    def read(text: str, run_date: str | None) -> str | None:
+        try:
+            default = datetime.fromisoformat(run_date) if run_date else None
+        except ValueError:
+            default = None
+        try:
+            if default is not None:
+                return parser.parse(text, default=default).date().isoformat()
+            both = {parser.parse(text, default=d).date().isoformat() for d in (datetime(2001, 1, 1), datetime(2004, 12, 28))}
+            return both.pop() if len(both) == 1 else None
+        except (ValueError, OverflowError, TypeError):
+            return None
 
-        def one(text: str | None) -> str | None:
-            if text is None:
-                return None
-            if text not in known:
-                if len(known) > 100_000:
-                    known.clear()
-                try:
-                    known[text] = parser.parse(text, default=default).date().isoformat()
-                except (ValueError, OverflowError, TypeError):
-                    known[text] = None
-            return known[text]
+    def one(text: str | None, run_date: str | None) -> str | None:
+        if text is None:
+            return None
+        key = (text, run_date)
+        if key not in known:
+            if len(known) > 100_000:
+                known.clear()
+            known[key] = read(*key)
+        return known[key]
 
-        for s in batches:
-            yield s.map(one, na_action=None).astype(object).where(lambda v: v.notna(), None)
+    for texts, days in batches:
+        yield pd.Series([one(t, d) for t, d in zip(texts, days, strict=True)], dtype=object)
 
-    return parse
 
-
-def normalize_date(c: Column, run_date: str | None = None) -> Column:
+def normalize_date(c: Column, run_date: str | Column | None = None) -> Column:
     """yyyy-MM-dd of a date text; a text that can't be read is stripped only; null and '' stay.
 
-    ISO dates and M/d/yyyy are read by built-in functions; only with run_date given are others handed to the lenient parser.
+    ISO dates and M/d/yyyy are read by built-in functions; only with run_date given (a date or a column) are others handed to the lenient parser.
     """
     text = strip(c)
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.date_format(F.try_to_date(text, "yyyy-MM-dd"), "yyyy-MM-dd"))
     us = F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.date_format(F.try_to_date(text, "M/d/yyyy"), "yyyy-MM-dd"))
     fast = F.coalesce(iso, us)
-    read = fast if run_date is None else F.coalesce(fast, lenient_date(run_date)(F.when(fast.isNull() & (text != ""), text)))
+    if run_date is None:
+        read = fast
+    else:
+        day = F.lit(run_date) if isinstance(run_date, str) else run_date
+        read = F.coalesce(fast, lenient_date(F.when(fast.isNull() & (text != ""), text), day.cast("string")))
     return F.when(F.coalesce(c, F.lit("")) == "", c).otherwise(F.coalesce(read, text))

@@ -1,17 +1,35 @@
-"""Column functions over URLs, by one lenient pattern (scheme, authority, path, query, fragment)."""
+"""Column functions over URLs, by one lenient pattern (scheme, authority, path, query, fragment).
+
+Each function binds its argument and the parts once: a column that is used in several places isn't written out there again, so
+nested calls have as many patterns in the plan as they have parts.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from careerlake.functions.text import strip
 
 URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+PARTS = {"scheme": 1, "authority": 2, "path": 3, "query": 4}
+# What marks a seed as internal, or as not meant for production.
 INTERNAL = ("internalcareers", "internalcareer")
 NON_PRODUCTION = ("staging", "sandbox", "uat", "qa", "test", "pentest", "demo", "training")
 
 
+def _let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of c, with c evaluated once."""
+    return F.element_at(F.transform(F.array(c), f), 1)
+
+
+def _parsed(c: Column, parts: str, f: Callable[[Column], Column]) -> Column:
+    """f of a struct of the parts that it names."""
+    return _let(c, lambda u: _let(F.struct(*[F.regexp_extract(u, URL, PARTS[p]).alias(p) for p in parts.split()]), f))
+
+
 def scheme(c: Column) -> Column:
     return F.lower(F.regexp_extract(c, URL, 1))
 
@@ -28,60 +46,79 @@ def query(c: Column) -> Column:
     return F.regexp_extract(c, URL, 4)
 
 
+def _host(authority: Column) -> Column:
+    return F.lower(F.regexp_extract(F.regexp_replace(authority, "^.*@", ""), r"^\[?([^\]:]*)", 1))
+
+
+def _port(authority: Column) -> Column:
+    return F.regexp_extract(authority, r":([0-9]+)$", 1)
+
+
+def _segments(path: Column) -> Column:
+    return F.filter(F.split(F.regexp_replace(path, ";[^/]*$", ""), "/"), lambda x: x != "")
+
+
 def host(c: Column) -> Column:
     """Lower-case host name without user and port; '' if there is none."""
-    return F.lower(F.regexp_extract(F.regexp_replace(authority(c), "^.*@", ""), r"^\[?([^\]:]*)", 1))
+    return _host(authority(c))
 
 
 def port(c: Column) -> Column:
-    return F.regexp_extract(authority(c), r":([0-9]+)$", 1)
+    return _port(authority(c))
 
 
 def has_http_scheme(c: Column) -> Column:
     return F.coalesce(strip(c).rlike("(?i)^https?:"), F.lit(False))
 
 
-def _start(c: Column) -> Column:
-    return F.concat(F.when(scheme(c) != "", F.concat(scheme(c), F.lit(":"))).otherwise(""), F.when(authority(c) != "", F.concat(F.lit("//"), authority(c))).otherwise(""))
-
-
 def canonicalize_detail_url(c: Column) -> Column:
     """Without query and fragment, runs of slashes in the path as one."""
-    return F.concat(_start(c), F.regexp_replace(path(c), "/+", "/"))
+
+    def whole(u: Column) -> Column:
+        start = F.when(u.scheme != "", F.concat(F.lower(u.scheme), F.lit(":"))).otherwise("")
+        return F.concat(start, F.when(u.authority != "", F.concat(F.lit("//"), u.authority)).otherwise(""), F.regexp_replace(u.path, "/+", "/"))
+
+    return _parsed(c, "scheme authority path", whole)
 
 
 def segments(c: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(path(c), ";[^/]*$", ""), "/"), lambda x: x != "")
+    return _segments(path(c))
 
 
 def portal_key(c: Column) -> Column:
     """Host and the path up to its first "careers" segment, or else its first two segments."""
-    parts = segments(c)
-    at = F.array_position(parts, "careers").cast("int")
-    kept = F.when(at > 0, F.slice(parts, F.lit(1), F.greatest(at, F.lit(1)))).otherwise(F.slice(parts, 1, 2))
-    return F.regexp_replace(F.concat(host(c), F.lit("/"), F.array_join(kept, "/")), "/+$", "")
+
+    def kept(parts: Column) -> Column:
+        return _let(F.array_position(parts, "careers").cast("int"), lambda at: F.when(at > 0, F.slice(parts, F.lit(1), F.greatest(at, F.lit(1)))).otherwise(F.slice(parts, 1, 2)))
+
+    return _parsed(c, "authority path", lambda u: F.regexp_replace(F.concat(_host(u.authority), F.lit("/"), F.array_join(_let(_segments(u.path), kept), "/")), "/+$", ""))
 
 
 def normalize_seed_url(c: Column) -> Column:
     """Trimmed of spaces and trailing commas; with a host: lower-case scheme (https if none) and host, port kept, no user, no fragment."""
-    text = strip(F.regexp_replace(strip(c), ",+$", ""))
-    at_port = F.when(F.coalesce(port(text).try_cast("int"), F.lit(0)) > 0, F.concat(F.lit(":"), port(text).try_cast("int").cast("string"))).otherwise("")
-    asked = F.when(query(text) != "", F.concat(F.lit("?"), query(text))).otherwise("")
-    known = F.when(scheme(text) != "", scheme(text)).otherwise("https")
-    return F.when(host(text) == "", text).otherwise(F.concat(known, F.lit("://"), host(text), at_port, path(text), asked))
+
+    def whole(text: Column, u: Column, name: Column, number: Column) -> Column:
+        at_port = F.when(F.coalesce(number, F.lit(0)) > 0, F.concat(F.lit(":"), number.cast("string"))).otherwise("")
+        asked = F.when(u.query != "", F.concat(F.lit("?"), u.query)).otherwise("")
+        known = F.when(u.scheme != "", F.lower(u.scheme)).otherwise("https")
+        return F.when(name == "", text).otherwise(F.concat(known, F.lit("://"), name, at_port, u.path, asked))
+
+    parts = lambda text: _parsed(text, "scheme authority path query", lambda u: _let(_host(u.authority), lambda h: _let(_port(u.authority).try_cast("int"), lambda p: whole(text, u, h, p))))
+    return _let(strip(F.regexp_replace(strip(c), ",+$", "")), parts)
 
 
-def _any_segment(c: Column, words: tuple[str, ...]) -> Column:
-    return F.arrays_overlap(F.transform(segments(c), F.lower), F.array(*map(F.lit, words)))
+def _any_of(segments: Column, words: tuple[str, ...]) -> Column:
+    return F.coalesce(F.arrays_overlap(F.transform(segments, F.lower), F.array(*map(F.lit, words))), F.lit(False))
 
 
 def is_internal(c: Column) -> Column:
-    return F.coalesce(_any_segment(c, INTERNAL), F.lit(False))
+    return _any_of(segments(c), INTERNAL)
 
 
 def is_nonproduction(c: Column) -> Column:
     """Internal, or the first host label or a path segment is one of the words; labels match as a whole."""
-    return is_internal(c) | F.coalesce(F.element_at(F.split(host(c), r"\."), 1).isin(*NON_PRODUCTION), F.lit(False)) | F.coalesce(_any_segment(c, NON_PRODUCTION), F.lit(False))
+    label = lambda u: F.coalesce(F.element_at(F.split(_host(u.authority), r"\."), 1).isin(*NON_PRODUCTION), F.lit(False))
+    return F.coalesce(_parsed(c, "authority path", lambda u: label(u) | _any_of(_segments(u.path), INTERNAL + NON_PRODUCTION)), F.lit(False))
 
 
 def query_parameter(c: Column, name: str) -> Column:
@@ -91,10 +128,10 @@ def query_parameter(c: Column, name: str) -> Column:
 
 def unwrap_job_href(c: Column) -> Column:
     """The target of a share link (shareUrl, else url), decoded twice, plus signs being spaces in the first pass only."""
-    raw = F.coalesce(query_parameter(c, "shareUrl"), query_parameter(c, "url"))
-    once = F.coalesce(F.try_url_decode(raw), raw)
-    twice = F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once)
-    return F.coalesce(twice, c)
+    again = lambda once: F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once)
+    twice = lambda raw: _let(F.coalesce(F.try_url_decode(raw), raw), again)
+    named = lambda asked, name: F.nullif(F.regexp_extract(asked, f"(?:^|&){name}=([^&]+)", 1), F.lit(""))
+    return _let(c, lambda u: F.coalesce(_let(query(u), lambda asked: _let(F.coalesce(named(asked, "shareUrl"), named(asked, "url")), twice)), u))
 
 
 def job_id(c: Column) -> Column:

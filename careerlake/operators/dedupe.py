@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_in_run(jobs: DataFrame, order: list[str], key: str = "job_hash") -> DataFrame:
-    """The first row of each key; rows with a null key all stay. A null key isn't gathered in one task: each has a random part."""
-    spread = F.when(F.col(key).isNull(), F.xxhash64(*order)).otherwise(F.lit(0))
-    w = Window.partitionBy(key, spread).orderBy(*order)
-    return jobs.withColumn("_place", F.row_number().over(w)).filter(F.col("_place").eqNullSafe(1) | F.col(key).isNull()).drop("_place")
+    """The first row of each key; rows with a null key all stay, and aren't shuffled. Rows are dealt by the key alone, which a join by it can reuse."""
+    w = Window.partitionBy(key).orderBy(*order)
+    named = jobs.filter(F.col(key).isNotNull()).withColumn("_place", F.row_number().over(w)).filter("_place = 1").drop("_place")
+    return named.unionByName(jobs.filter(F.col(key).isNull()))
 
 
 def duplicates_in_run(jobs: DataFrame, key: str = "job_hash") -> DataFrame:
@@ -56,7 +57,9 @@ def first_seen_or_pass(jobs: DataFrame, registry: Callable[[], DataFrame] | None
         return jobs, None
     try:
         known = registry()
-    except (AnalysisException, OSError):
+        if on_error == "pass":  # a registry that fails when it is read counts as unreadable too, so its keys are read once
+            known.select(F.count("job_hash"), F.max("expires_at")).first()
+    except (PySparkException, Py4JJavaError, OSError):
         if on_error == "fail":
             raise
         return jobs, None

@@ -73,7 +73,8 @@ def change_events(snapshots: DataFrame, tie_breakers: tuple[str, ...] = (), one_
     """
     if one_per_day:
         snapshots = snapshots.dropDuplicates(["job_hash", "run_date"])
-    w = Window.partitionBy("job_hash").orderBy("run_date", *tie_breakers)
+    # rows without a hash are told apart by their URL, so that they aren't one group
+    w = Window.partitionBy("job_hash", F.when(F.col("job_hash").isNull(), F.col("source_url"))).orderBy("run_date", *tie_breakers)
     seen = snapshots.select("run_date", "portal_key", "job_hash", "job_id", "title", "company", "source_url", "content_hash", F.lag("content_hash").over(w).alias("_hash"), F.lag("run_date").over(w).alias("_before"), F.lead("run_date").over(w).alias("_after"))
     both = seen.join(F.broadcast(run_calendar(snapshots)), "run_date")  # a row for each day of runs
     event = lambda kind, at, h, d: F.struct(F.lit(kind).alias("event_type"), at.alias("event_run_date"), h.alias("previous_content_hash"), d.alias("previous_run_date"))

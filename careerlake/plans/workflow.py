@@ -6,13 +6,16 @@ import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerlake.operators import dedupe, records
+from careerlake.functions import urls
+from careerlake.operators import dedupe, records, telemetry
 from careerlake.operators.extraction import extract_jobs
-from careerlake.plans import lakehouse
+from careerlake.plans import gate, lakehouse
 from careerlake.schemas import JOB
 from careerlake.sources import readers, writers
 
@@ -24,6 +27,12 @@ class Config:
     schedule_target: str = "workflow"
     analytics: bool = True
     most_scanned: int | None = None  # bytes a promotion may scan
+    registry: bool = False  # whether jobs of earlier runs are left out
+    registry_errors: str = "fail"  # or "pass": an unreadable registry lets everything pass
+    gated: bool = False  # whether a run that doesn't pass the gate raises, after all is written
+    stage: str = "dev"
+    tries: int = 3
+    retry_wait: float = 20.0
 
     def __post_init__(self):
         if self.schedule_target not in ("workflow", "task", "none"):
@@ -52,6 +61,11 @@ def retry(step: Callable, times: int = 3, wait: float = 20.0, backoff: float = 2
             time.sleep(wait * backoff**k)
 
 
+def today() -> str:
+    """The run date of a run that names none: the day by UTC."""
+    return datetime.now(UTC).date().isoformat()
+
+
 def guard_scan(df: DataFrame, most: int | None) -> None:
     """ValueError if the optimiser expects the plan to read more bytes than allowed."""
     if most is not None:
@@ -60,17 +74,72 @@ def guard_scan(df: DataFrame, most: int | None) -> None:
             raise ValueError(f"the query would scan about {size} bytes; {most} are allowed")
 
 
-def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: str, run_id: str) -> dict[str, int]:
-    """Returns the rows promoted to the curated and history tables. Safe to run again."""
+def _kinds(pages: DataFrame) -> DataFrame:
+    """pages with a request_kind (job details if they have none) and a status (200)."""
+    have = set(pages.columns)
+    kind = F.coalesce(F.col("request_kind"), F.lit("job_detail")) if "request_kind" in have else F.lit("job_detail")
+    status = F.coalesce(F.col("status"), F.lit(200)) if "status" in have else F.lit(200)
+    at = urls.canonicalize_detail_url(F.col("url"))
+    own = F.coalesce(F.nullif(F.col("portal_key").cast("string"), F.lit("")), urls.portal_key(at))
+    return pages.select("url", "html", own.alias("portal_key"), F.col("input_seed_url").cast("string").alias("input_seed_url"), kind.alias("request_kind"), status.alias("status"))
+
+
+def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: str | None, run_id: str) -> dict[str, int]:
+    """Returns the rows promoted to the curated and history tables. Safe to run again: each output is the run's own folder, replaced.
+
+    In turn: job records of the detail pages, each parsed once; quarantine; duplicates of the run, and of earlier runs by the registry, which
+    takes the new ones; the feed; promotion, tried again after failures; portal summary, manifest and metrics; the gate.
+    run_date: today if null. pages may have request_kind and status, which the telemetry counts.
+    """
+    run_date = today() if run_date is None else run_date
     override(run_date, run_id)
-    found = extract_jobs(pages, run_id, run_date, f"{run_date}T00:00:00+00:00")
-    checked = records.validate(found, run_date)
-    writers.quarantine(checked, f"{config.root}/quarantine/run_date={run_date}/run_id={run_id}")
-    kept = dedupe.first_in_run(records.valid(checked), ["scraped_at", "canonical_source_url"])
-    writers.jobs_feed(kept.select(*[f.name for f in JOB]), f"{config.root}/bronze/jobs")
-    bronze = readers.bronze_jobs(spark, f"{config.root}/bronze/jobs")
-    guard_scan(bronze.filter(F.col("run_date") == run_date), config.most_scanned)
-    return {
-        "curated": lakehouse.promote(spark, lakehouse.curated(bronze), f"{config.database}.silver_jobs_curated", run_date),
-        "history": lakehouse.promote(spark, lakehouse.history(bronze), f"{config.database}.silver_jobs_history_snapshot", run_date),
-    }
+    started = datetime.now(UTC)
+    root, own = config.root.rstrip("/"), f"run_date={run_date}/run_id={run_id}"
+    seen = _kinds(pages)
+    details = seen.filter("request_kind = 'job_detail' and status < 400")
+    records.validate(extract_jobs(details, run_id, run_date, f"{run_date}T00:00:00+00:00"), run_date).write.mode("overwrite").parquet(f"{root}/checked/{own}")
+    checked = spark.read.schema(JOB).parquet(f"{root}/checked/{own}").withColumns({"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
+    writers.quarantine(checked, f"{root}/quarantine/{own}")
+    order = ["scraped_at", "canonical_source_url"]
+    valid = records.valid(checked)
+    kept, entries = dedupe.first_in_run(valid, order), None
+    if config.registry:
+        now = F.unix_timestamp(F.lit(run_date), "yyyy-MM-dd")
+        known = lambda: readers.registry(spark, f"{root}/registry").filter(F.col("run_id") != run_id)  # noqa: E731  a rerun isn't its own duplicate
+        kept, entries = dedupe.first_seen_or_pass(valid, known, now, order, config.registry_errors)
+        kept = dedupe.first_in_run(kept, order) if entries is None else kept
+    writers.jobs_feed(kept.select(*[f.name for f in JOB]), f"{root}/bronze/jobs")
+    if entries is not None:
+        writers.registry(entries, f"{root}/registry", run_date, run_id)
+    bronze = readers.bronze_jobs(spark, f"{root}/bronze/jobs")
+    day = bronze.filter(F.col("run_date") == run_date)
+    guard_scan(day, config.most_scanned)
+    again = lambda rows, table: retry(lambda: lakehouse.promote(spark, rows, f"{config.database}.{table}", run_date), config.tries, config.retry_wait, errors=(OSError, Py4JJavaError))
+    promoted = {"curated": again(lakehouse.curated(bronze), "silver_jobs_curated"), "history": again(lakehouse.history(bronze), "silver_jobs_history_snapshot")}
+    items = day.filter(F.col("run_id") == run_id)
+    report(config, seen, items, valid, checked, run_date, run_id, started)
+    runs = readers.manifest(spark, f"{root}/manifest/{own}").select("run_id", "close_reason", "counts.jobs_exported_total", "counts.jobs_quarantined_total", "quality.job_detail_success_rate")
+    if config.gated:
+        gate.require(runs)
+    return promoted
+
+
+def report(config: Config, seen: DataFrame, items: DataFrame, valid: DataFrame, checked: DataFrame, run_date: str, run_id: str, started: datetime) -> None:
+    """Writes the run's portal summary, manifest and metrics, each in a folder of its own."""
+    root, own = config.root.rstrip("/"), f"run_date={run_date}/run_id={run_id}"
+    requests = seen.select("portal_key", F.col("request_kind").alias("kind"))
+    responses = seen.select("portal_key", F.col("request_kind").alias("kind"), "status")
+    exported = items.groupBy("portal_key").agg(F.count("*").alias("n"))
+    dropped = valid.groupBy("portal_key").agg(F.count("*").alias("all")).join(exported, "portal_key", "left")
+    copies = dropped.select("portal_key", F.explode(F.array_repeat(F.lit("duplicate"), (F.col("all") - F.coalesce("n", F.lit(0))).cast("int"))).alias("reason"))
+    drops = copies.unionByName(checked.filter("record_status = 'quarantined'").select("portal_key", F.lit("quarantine").alias("reason")))
+    portals = telemetry.portal_rows(requests, responses, items, drops)
+    writers.portal_summary(portals, f"{root}/ops/portal_summary/{own}")
+    summary = telemetry.run_summary(portals)
+    found = seen.filter("request_kind = 'job_detail'").agg(F.count_distinct(urls.canonicalize_detail_url(F.col("url"))).alias("jobs_discovered_total"))
+    ended = datetime.now(UTC)
+    places = {"jobs_feed_uri": f"{root}/bronze/jobs/{own}", "metrics_uri": f"{root}/metrics/{own}", "run_manifest_uri": f"{root}/manifest/{own}", "quarantine_uri": f"{root}/quarantine/{own}", "portal_summary_uri": f"{root}/ops/portal_summary/{own}"}
+    run = {"run_id": run_id, "run_date": run_date, "started_at": started.isoformat(), "finished_at": ended.isoformat(), "close_reason": "finished", "project": "careerlake", "stage": config.stage}
+    writers.manifest(telemetry.manifest(telemetry.run_counters(items), summary, found, run, (ended - started).total_seconds(), places), f"{root}/manifest/{own}")
+    counts = telemetry.request_counts(requests).select(F.concat_ws("/", F.lit("requests"), "portal_key", "kind").alias("name"), F.col("requests").alias("value"))
+    writers.metrics(telemetry.metrics_snapshot(counts, summary, "close", ended.isoformat()), f"{root}/metrics/{own}")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from careerlake.functions.text import strip
-from careerlake.schemas import JOB, MANIFEST, PORTAL_SUMMARY
+from careerlake.schemas import JOB, MANIFEST, PORTAL_SUMMARY, REGISTRY
 
 
 def jsonl(spark: SparkSession, path: str, schema: StructType, earliest: str | None = None, latest: str | None = None) -> DataFrame:
@@ -44,6 +44,14 @@ def seed_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.monotonically_increasing_id().alias("pos"), value.alias("raw_value")).filter("raw_value <> '' and not startswith(raw_value, '#')")
 
 
+def registry(spark: SparkSession, path: str) -> DataFrame:
+    """First sights of all runs, with the run_date and run_id of the folders; empty before the first run."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    schema = StructType([*REGISTRY.fields, StructField("run_date", StringType()), StructField("run_id", StringType())])
+    return spark.read.schema(schema).parquet(path) if at.getFileSystem(conf).exists(at) else spark.createDataFrame([], schema)
+
+
 def file_digest(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256) of whole files."""
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))

@@ -15,7 +15,18 @@ def jobs_feed(jobs: DataFrame, path: str) -> None:
 
 
 def quarantine(validated: DataFrame, path: str) -> None:
-    quarantined(validated).write.mode("append").json(path)
+    """A run's folder as a whole, so that a rerun doesn't repeat its rows."""
+    quarantined(validated).write.mode("overwrite").json(path)
+
+
+def registry(entries: DataFrame, path: str, run_date: str, run_id: str) -> None:
+    """A run's first sights, in a folder of its own that a rerun replaces."""
+    entries.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={run_date}/run_id={run_id}")
+
+
+def metrics(snapshot: DataFrame, path: str) -> None:
+    """One JSON object of all metrics, replaced at each dump."""
+    snapshot.select("metrics").coalesce(1).write.mode("overwrite").json(path)
 
 
 def manifest(one_row: DataFrame, path: str) -> None:

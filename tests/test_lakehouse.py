@@ -61,11 +61,34 @@ def test_daily_run_is_idempotent(spark, tmp_path):
     assert named.run(spark, "day_counts", target="daily.silver_jobs_curated").count() == 2
     assert readers.bronze_jobs(spark, f"{tmp_path}/bronze/jobs", latest=D1).count() == 2
     bad = spark.read.json(f"{tmp_path}/quarantine/run_date={D1}/run_id=r1")
-    assert bad.count() == 2 and bad.first().errors == ["missing_title"]
+    assert bad.count() == 1 and bad.first().errors == ["missing_title"]  # the rerun replaced its folder
+    run = readers.manifest(spark, f"{tmp_path}/manifest/run_date={D1}/run_id=r1").first()
+    assert (run.counts.jobs_exported_total, run.counts.jobs_quarantined_total, run.counts.duplicates_dropped_total, run.counts.jobs_discovered_total) == (2, 1, 1, 3)
+    portal = readers.portal_summary_file(spark, f"{tmp_path}/ops/portal_summary/run_date={D1}/run_id=r1").collect()
+    assert [(r.portal_key, r.job_detail_requests_total, r.job_detail_success_rate) for r in portal] == [("p.example.com/careers", 4, 0.5)]
+    assert spark.read.json(f"{tmp_path}/metrics/run_date={D1}/run_id=r1").count() == 1
     with pytest.raises(ValueError, match="allowed"):
         workflow.guard_scan(spark.table("daily.silver_jobs_curated"), 1)
 
 
+def test_registry_and_gate_of_the_daily_run(spark, tmp_path):
+    """Jobs of an earlier run are left out, a rerun isn't its own duplicate, and a bad run raises once all is written."""
+    spark.sql("create database if not exists registered")
+    rows = [(*page(k), None, "seed", "job_detail", 200) for k in (2001, 2002, 2003, 2004, 2005)]
+    pages = spark.createDataFrame([*rows, ("https://p.example.com/careers/SearchJobs", "<html></html>", None, "seed", "listing", 500)], "url string, html string, portal_key string, input_seed_url string, request_kind string, status int")
+    config = workflow.Config(str(tmp_path), "registered", registry=True, gated=True)
+    for _ in range(2):
+        workflow.run_daily(spark, pages, config, D1, "r1")
+        assert spark.table("registered.silver_jobs_curated").count() == 5
+    with pytest.raises(gate.GateError, match="no_jobs"):
+        workflow.run_daily(spark, pages, config, D2, "r2")
+    assert readers.registry(spark, f"{tmp_path}/registry").count() == 5
+    late = workflow.Config(str(tmp_path), "registered", registry=True)
+    assert workflow.run_daily(spark, pages, late, "2026-06-01", "r3") == {"curated": 5, "history": 5}  # expired by then
+    last = readers.portal_summary_file(spark, f"{tmp_path}/ops/portal_summary/run_date=2026-06-01/run_id=r3").first()
+    assert (last.listing_requests_total, last.error_responses_total, last.requests_total) == (1, 1, 6)
+
+
 def test_anti_join_prunes_partitions(spark, tmp_path):
     spark.sql("create database if not exists pruned")
     rows = snapshots(spark, ("A", D1, "a"), ("A", D2, "a"))
