@@ -477,3 +477,58 @@ def _listing(spark, sf_dir):
 @query("select count(distinct page_id) as jobs_discovered_total from pages")
 def discovered_jobs(spark, sf_dir):
     return extraction.discovered(_listing(spark, sf_dir))
+
+
+def _field(label: str, value: str) -> str:
+    """SQL of a labelled field; value is SQL, label is text."""
+    head = f"<div class=\"article__content__view__field__label\">{label}</div>" if label else ""
+    return f"concat('<div class=\"article__content__view__field\">{head}<div class=\"article__content__view__field__value\">', {value}, '</div></div>')"
+
+
+def _detail_pages(spark, sf_dir):
+    """A job's page for each page: every source of a field, some of them missing in turn."""
+    n = "cast(page_id as string)"
+    mod = lambda k: f"cast(page_id % {k} as string)"
+    html = f"""concat('<html><head><title>Tab ', {n}, '</title>', case when page_id % 4 = 0 then concat('<meta property="og:title" content=" Role ', {n}, ' &amp; more ">') else '' end,
+      case when page_id % 6 = 0 then concat('<meta name="x.portallist.search" content=" 7', {n}, ' ">') else '' end,
+      case when page_id % 3 = 0 then '<script type="application/ld+json">broken</script>' else '' end,
+      case when page_id % 7 < 5 then concat('<script type="application/ld+json">[{{"@type":"Thing"}},{{"@type":"JobPosting","hiringOrganization":{{"name":"Ad ', {mod(7)}, '"}},"datePosted":"2026-01-0', {mod(9)}, '","description":"<p>From <b>ad</b></p>"}}]</script>') else '' end,
+      '</head><body>', case when page_id % 4 = 1 then concat('<h2 class="banner__text__title">Banner ', {n}, '</h2>') else '' end,
+      case when page_id % 7 = 6 then '<div class="banner__text__subtitle">The Co</div>' else '' end,
+      {_field('Company :', f"concat('Field Co ', {mod(5)})")}, case when page_id % 2 = 0 then {_field('Company :', f"concat('Last Co ', {mod(5)})")} else '' end,
+      {_field('Location(s):', f"concat('City ', {mod(5)}, ', city ', {mod(4)}, '/Unknown')")}, {_field('REMOTE?', "'Yes'")},
+      case when page_id % 5 > 0 then concat('<article class="article article--details"><h3 class="article__header__text__title">About</h3>', {_field('', f"concat('one <i>', {n}, '</i>')")}, {_field('', "'two'")}, '</article>') else '' end,
+      case when page_id % 3 = 0 then concat('<a href="/careers/ApplicationMethods?jobId=', {n}, '">Go</a>') when page_id % 3 = 1 then concat('<a href="/Login?jobId=', {n}, '">Apply now</a>') else '<a href="/Login?jobId=1">Log in</a>' end, '</body></html>')""".replace("Company :", "Company:")
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr(f"concat('https://H', {mod(30)}, '.Example.com/careers//JobDetail/Role/1', lpad({n}, 6, '0'), '?x=1#f') as url", f"{html} as html", "cast(null as string) as portal_key", "cast(null as string) as input_seed_url")
+
+
+@query(
+    """with p as (select page_id, cast(page_id as varchar) as n, lpad(cast(page_id as varchar), 6, '0') as padded, 'h' || page_id % 30 || '.example.com/careers' as portal_key from pages),
+    f as (select *, case when page_id % 6 = 0 then '7' || n else '1' || padded end as job_id from p)
+    select 'https://H' || page_id % 30 || '.Example.com/careers/JobDetail/Role/1' || padded as source_url, portal_key, job_id, sha256(portal_key || '|' || job_id) as job_hash,
+      case page_id % 4 when 0 then 'Role ' || n || ' & more' when 1 then 'Banner ' || n else 'Tab ' || n end as title,
+      case when page_id % 2 = 0 then 'Last Co ' else 'Field Co ' end || page_id % 5 as company,
+      'City ' || page_id % 5 || case when page_id % 5 = page_id % 4 then '' else '|city ' || page_id % 4 end as locations,
+      case when page_id % 7 < 5 then '2026-01-0' || page_id % 9 end as posted_date, 'Yes' as remote,
+      case when page_id % 5 > 0 then 'one ' || n || chr(10) || 'two' else 'one' end as description_text,
+      case page_id % 3 when 0 then 'https://H' || page_id % 30 || '.Example.com/careers/ApplicationMethods?jobId=' || n when 1 then 'https://H' || page_id % 30 || '.Example.com/Login?jobId=' || n end as apply_url, 3 as raw_fields
+    from f""".replace("else 'one' end as description_text", "when page_id % 7 < 5 then 'From ad' end as description_text")
+)
+def extract_details(spark, sf_dir):
+    """Title, fields, sections, links and identity of job pages, by all their fallbacks."""
+    got = extraction.extract_jobs(_detail_pages(spark, sf_dir), "r", "2026-03-18", "now")
+    return got.select("source_url", "portal_key", "job_id", "job_hash", "title", "company", F.array_join("locations", "|").alias("locations"), "posted_date", "remote", "description_text", "apply_url", F.size("raw_fields").alias("raw_fields"))
+
+
+@query("select event_id, case event_id % 5 when 4 then 'soon' when 3 then strftime(ts, '%Y-%m') || '-26' else strftime(ts, '%Y-%m-%d') end as posted_date from events")
+def lenient_dates(spark, sf_dir):
+    """Dates in words and other orders; what a text leaves out comes from the run's date; what isn't a date stays."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", "case event_id % 5 when 0 then date_format(ts, ' MM-dd-yy ') when 1 then date_format(ts, 'MMMM d, yyyy') when 2 then date_format(ts, 'd MMM yyyy') when 3 then date_format(ts, 'MMM yyyy') else ' soon ' end as posted_date")
+    return rows.select("event_id", dates.normalize_date(F.col("posted_date"), "2026-03-26").alias("posted_date"))
+
+
+@query(ORACLE_SQL["portal_summary_rows"].join(["select portal_key, row_number() over (order by error_responses_total desc, job_detail_requests_total desc, portal_key) as place from (", ")"]))
+def portal_order(spark, sf_dir):
+    """The portals in the order in which their summary is written."""
+    rows = telemetry.ranked(QUERIES["portal_summary_rows"](spark, sf_dir)).select("portal_key").coalesce(1)  # a row for each portal
+    return rows.select("portal_key", (F.monotonically_increasing_id() + 1).alias("place"))
