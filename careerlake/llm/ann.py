@@ -10,6 +10,8 @@ original vectors in double precision.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -94,17 +96,17 @@ def inner(q: np.ndarray, x: np.ndarray, row: np.ndarray, col: np.ndarray, at_onc
     return np.concatenate(parts) if parts else np.zeros(0)
 
 
-def search_block(quantiser: Quantiser, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, packed: np.ndarray, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, ids and exact scores of each query's k best in a block whose rows are in order of id."""
+def search_block(quantiser: Quantiser, q_rows: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray, x: np.ndarray, packed: np.ndarray, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query rows, ids and exact scores of each query's k best in a block whose rows are in order of id; rows tell rows of one id apart."""
     columns = np.ascontiguousarray(packed.T)
     out = []
     for at in range(0, len(q), 128):
-        qs, own = q[at : at + 128], q_ids[at : at + 128]
+        qs, own = q[at : at + 128], q_rows[at : at + 128]
         tables = quantiser.tables(qs)
         score = np.zeros((len(qs), len(x)), np.float32)
         for b, codes in enumerate(columns):
             score += np.take(tables[:, b], codes, axis=1)
-        score[own[:, None] == ids[None]] = -np.inf
+        score[own[:, None] == rows[None]] = -np.inf
         if rerank < len(x):
             least = -np.partition(-score, rerank - 1, axis=1)[:, rerank - 1]
             above = score > least[:, None]
@@ -137,26 +139,31 @@ def search_block(quantiser: Quantiser, q_ids: np.ndarray, q: np.ndarray, ids: np
     return tuple(np.concatenate(p) for p in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
 
 
-def nearest(df: DataFrame, is_query, k: int = 20, rerank: int = 160, sample: int = 16_384, block: int = 8_192, queries: int = 1_024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(df: DataFrame, is_query, k: int = 20, rerank: int = 160, sample: int = 16_384, block: int = 32_768, queries: int = 16_384, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each row for which is_query (a condition) holds: query_id, rank (from 1), id and score of its k nearest others.
 
     Nearness is the inner product of the original vectors in double precision; ties go to the smaller id; fewer than k
-    others give all of them. A row's own id is never its neighbour. Vectors that are null, zero, hold null or non-finite
-    components, or whose length isn't the commonest one, and rows with a null id take no part. Repeated ids are
-    separate candidates. Further columns are ignored; an empty table gives an empty result.
+    others give all of them. Others are all rows but the query's own: rows that repeat an id are candidates and queries of their own, each
+    query row with its own ranks. Vectors are compared with those of their length. Vectors that are null, zero, hold null or non-finite
+    components, and rows with a null id take no part. Further columns are ignored; an empty table gives an empty result.
 
     The codebooks are fitted to about `sample` rows, drawn by the id's hash; every row is coded and searched. Queries and
-    candidates meet in blocks of about `queries` and `block` rows; `rerank` of each block are scored exactly.
+    candidates meet in blocks of about `queries` and `block` rows at most, and smaller ones while that gives fewer groups than would keep a
+    small cluster busy; `rerank` of each block are scored exactly. A candidate is sent out once for each block of queries.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).filter(usable("v") & F.col("id").isNotNull())
-    sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("q")).orderBy(F.desc("n"), "d").first()
-    if sizes is None:
-        return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias(id_col), F.lit(0.0).alias("score")).limit(0)
-    rows = rows.filter(F.size("v") == sizes["d"])
-    chance = min(1.0, sample / sizes["n"])
-    drawn = rows.filter(F.pmod(F.xxhash64("id", F.lit("codebook")), F.lit(1 << 20)) < int(chance * (1 << 20))).select("id", "v").toArrow().sort_by("id")
-    if not drawn.num_rows:
-        drawn = rows.select("id", "v").limit(1).toArrow()
+    kind = "array<float>" if df.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).filter(usable("v") & F.col("id").isNotNull())
+    found = []
+    for size in rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.sum(F.col("asks").cast("long")).alias("q")).filter("q > 0 and n > 1").orderBy("d").collect():
+        found.append(_nearest(rows.filter(F.size("v") == size["d"]), kind, size["n"], size["q"], k, rerank, sample, block, queries))
+    none = rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
+    return reduce(DataFrame.unionAll, found or [none]).withColumnRenamed("vec_id", id_col)
+
+
+def _nearest(rows: DataFrame, kind: str, n: int, q: int, k: int, rerank: int, sample: int, block: int, queries: int) -> DataFrame:
+    chance = min(1.0, sample / n)
+    drawn = rows.filter(F.pmod(F.xxhash64("id", F.lit("codebook")), F.lit(1 << 20)) < int(chance * (1 << 20))).select("id", "v").toArrow()
+    drawn = drawn.sort_by("id") if drawn.num_rows else rows.select("id", "v").limit(1).toArrow()
     quantiser = Quantiser(matrix(drawn.column(1).combine_chunks()))
 
     def coding(batches):
@@ -165,24 +172,27 @@ def nearest(df: DataFrame, is_query, k: int = 20, rerank: int = 160, sample: int
                 packed = quantiser.pack(quantiser.encode(matrix(b.column(1))))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in packed], pa.binary())], names=["id", "v", "asks", "code"])
 
-    coded = Saved(rows.mapInArrow(coding, "id long, v array<double>, asks boolean, code binary"), "codes").df
-    c_blocks, q_blocks = -(-sizes["n"] // block), max(1, -(-sizes["q"] // queries))
-    place = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), F.lit(n)).cast("int")
+    coded = rows.mapInArrow(coding, f"id long, v {kind}, asks boolean, code binary").withColumn("row", F.monotonically_increasing_id())
+    coded = Saved(coded, "codes").df
+    c_blocks = max(-(-n // block), min(24, -(-n // 1024)))
+    q_blocks = -(-q // queries)
+    place = lambda n: F.pmod(F.xxhash64("row", F.lit("block")), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = coded.select(place(c_blocks).alias("c"), every(q_blocks).alias("q"), F.lit(False).alias("asks"), "id", "v", "code")
-    asking = coded.filter("asks").select(every(c_blocks).alias("c"), place(q_blocks).alias("q"), "asks", "id", "v", F.lit(None).cast("binary").alias("code"))
+    candidates = coded.select(place(c_blocks).alias("c"), every(q_blocks).alias("q"), F.lit(False).alias("asks"), "id", "row", "v", "code")
+    asking = coded.filter("asks").select(every(c_blocks).alias("c"), place(q_blocks).alias("q"), "asks", "id", "row", "v", F.lit(None).cast("binary").alias("code"))
 
     def search(t: pa.Table) -> pa.Table:
         asks = t.column("asks").to_numpy()
-        t_q, t_c = t.filter(pa.array(asks)), t.filter(pa.array(~asks)).sort_by("id")
+        t_q, t_c = t.filter(pa.array(asks)), t.filter(pa.array(~asks)).sort_by([("id", "ascending"), ("row", "ascending")])
         vectors = lambda x: matrix(x.column("v").combine_chunks())
         if not t_q.num_rows or not t_c.num_rows:
             found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         else:
             packed = np.frombuffer(b"".join(t_c.column("code").to_pylist()), np.uint8).reshape(t_c.num_rows, -1)
-            found = search_block(quantiser, t_q.column("id").to_numpy(), vectors(t_q), t_c.column("id").to_numpy(), vectors(t_c), packed, k, rerank)
-        return pa.table({"query_id": found[0], "id": found[1], "score": found[2]}, pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())]))
+            found = search_block(quantiser, t_q.column("row").to_numpy(), vectors(t_q), t_c.column("id").to_numpy(), t_c.column("row").to_numpy(), vectors(t_c), packed, k, rerank)
+        ids = dict(zip(t_q.column("row").to_pylist(), t_q.column("id").to_pylist(), strict=True))
+        return pa.table({"asker": found[0], "query_id": [ids[r] for r in found[0].tolist()], "id": found[1], "score": found[2]}, pa.schema([("asker", pa.int64()), ("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())]))
 
-    found = candidates.unionByName(asking).groupBy("c", "q").applyInArrow(search, "query_id long, id long, score double")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    found = candidates.unionByName(asking).groupBy("c", "q").applyInArrow(search, "asker long, query_id long, id long, score double")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("asker").orderBy(F.desc("score"), "id"))).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", F.col("id").alias("vec_id"), "score")

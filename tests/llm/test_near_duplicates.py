@@ -164,3 +164,19 @@ def test_nearest(spark):
     assert {r.query_id for r in got} == set(range(0, 300, 20)) and hits / 300 >= 0.9
     few = nearest(df.filter("vec_id < 5"), F.col("vec_id") == 0, k=20).collect()
     assert len(few) == 4 and nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_nearest_with_repeated_ids_ties_and_lengths(spark):
+    """Every row with an id divisible by 5 is a query of its own; others are all rows but that one, of its length."""
+    x = vectors()[:60]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[7].tolist()), (0, x[7].tolist()), (170, x[3].tolist()), (171, x[3].tolist()), (200, [1.0, 2.0]), (201, [2.0, 1.0]), (202, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted((r.query_id, tuple(), r.rank, r.vec_id, r.score) for r in nearest(df, F.col("vec_id") % 5 == 0, k=5, rerank=100).collect())
+    want = []
+    data = [(i, np.array(v, np.float32).astype(float)) for i, v in rows]
+    for at, (i, v) in enumerate(data):
+        if i % 5 == 0:
+            others = sorted((-float(np.einsum("n,n->", v, w)), j) for other, (j, w) in enumerate(data) if other != at and len(w) == len(v))[:5]
+            want += [(i, (), rank, j, -s) for rank, (s, j) in enumerate(others, 1)]
+    want.sort()
+    assert [(a[0], a[2], a[3]) for a in got] == [(a[0], a[2], a[3]) for a in want] and np.allclose([a[4] for a in got], [a[4] for a in want])
