@@ -20,13 +20,15 @@ from itertools import accumulate
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from careerlake.llm.common import as_bytes, map_arrow, texts
 
 # Fixed values of the byte-level format: the pre-tokenizer's pattern (white space spelled out).
 SPACE = "\t-\r \u0085   -     　"
 PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+SLACK = 64  # a prefix has at most so many tokens more than a longer one: those of a special token's string, or of a piece's end
 MARKS = frozenset(b".,!?;:")  # a piece and a token each, behind letters
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 
@@ -186,34 +188,37 @@ class PrefixCounter:
         segments = self.segments(text)
         return len(segments) - 1 + sum(sum(self.counts(s)[1]) for s in segments if s)
 
-    def fit(self, text: bytes, budget: int) -> tuple[int, int]:
-        """The text's count, and the bytes of its longest prefix of whole characters with at most budget tokens."""
-        total = at = 0
-        fitting = None
-        segments = self.segments(text)
-        mark = len(self.special[0]) if len(self.special) == 1 else 0
-        for k, s in enumerate(segments):
-            if k:
-                total += 1
-                at += mark
-            if not s:
-                continue
-            if fitting is None and total > budget:
-                fitting = at - mark
-            chunks, counts = self.counts(s)
-            sums = list(accumulate(counts))
-            if fitting is None and total + sums[-1] > budget:
-                i = bisect_right(sums, budget - total)  # the first chunk that doesn't fit
-                before = sum(map(len, chunks[:i])) + max(i, 1) - 1 + (i > 0)
-                chunk = chunks[i] if i == 0 else b" " + chunks[i]
-                start = at + before - (i > 0)
-                tail = b"" if i == 0 else chunks[i - 1] if i == 1 else b" " + chunks[i - 1]
-                fitting = start + self.within(chunk, budget - total - (sums[i - 1] if i else 0), tail, counts[i - 1] if i else 0)
-            total += sums[-1]
-            at += len(s)
-        if fitting is None:
-            fitting = len(text) if total <= budget else at - mark
-        return total, fitting
+    def sums(self, text: bytes) -> list[int]:
+        """The count up to the end of each chunk, over all segments; the last is the text's. A special token counts with the chunk after it."""
+        out: list[int] = []
+        for k, s in enumerate(self.segments(text)):
+            base = (out[-1] if out else 0) + (k > 0)
+            out += [base + c for c in accumulate(self.counts(s)[1])] if s else [base]
+        return out
+
+    def fit(self, text: bytes, budget: int, sums: list[int] | None = None) -> tuple[int, int]:
+        """The text's count, and the bytes of its longest prefix of whole characters with at most budget tokens.
+
+        sums: those of the text, if they are known: then only the pieces around the place are looked at.
+        """
+        if not text:
+            return 0, 0
+        sums = self.sums(text) if sums is None else sums
+        if any(s in text for s in self.special):
+            # a special token's string has other counts while it isn't whole, so every prefix is looked at
+            whole = text.decode()
+            fitting = max(i for i, c in enumerate(prefix_counts(self, whole, budget)) if c <= budget)
+            return sums[-1], len(whole[:fitting].encode())
+        if sums[-1] <= budget:
+            return sums[-1], len(text)
+        chunks = self.chunks(text)
+        i = bisect_right(sums, budget)  # the first chunk that doesn't fit
+        start = sum(map(len, chunks[:i])) + i
+        chunk = chunks[i] if i == 0 else b" " + chunks[i]
+        tail = b"" if i == 0 else chunks[i - 1] if i == 1 else b" " + chunks[i - 1]
+        before = sums[i - 1] if i else 0
+        tail_count = before - (sums[i - 2] if i > 1 else 0)
+        return sums[-1], start - (i > 0) + self.within(chunk, budget - before, tail, tail_count)
 
     def within(self, chunk: bytes, budget: int, tail: bytes, tail_count: int) -> int:
         """Bytes of a chunk's longest fitting prefix; tail is the chunk before it, whose count is tail_count."""
@@ -252,8 +257,8 @@ class PrefixCounter:
         return [i for i in range(1, len(piece) + 1) if i == len(piece) or piece[i] & 0xC0 != 0x80]
 
 
-def prefix_counts(counter: PrefixCounter, text: str) -> list[int]:
-    """The exact token count of text[:i] for each i from 0."""
+def prefix_counts(counter: PrefixCounter, text: str, budget: int | None = None) -> list[int]:
+    """The exact token count of text[:i] for each i from 0; with a budget, up to where no longer prefix can be within it."""
     out, raw = [0], text.encode()
     base, last, last_count = 0, b"", 0
     for segment_at, segment in enumerate(counter.segments(raw)):
@@ -278,6 +283,8 @@ def prefix_counts(counter: PrefixCounter, text: str) -> list[int]:
                 out.append(base + c)
             known += table[-1]
             at += len(p)
+            if budget is not None and base + known > budget + SLACK:
+                return out
         base += known
         chunks, counts = counter.counts(segment)
         last, last_count = chunks[-1] if len(chunks) == 1 else b" " + chunks[-1], counts[-1]
@@ -285,10 +292,11 @@ def prefix_counts(counter: PrefixCounter, text: str) -> list[int]:
 
 
 def token_counts(df: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_bytes, n_tokens, over_limit and fit_bytes, the bytes of the longest prefix within the limit.
+    """Per row: id, n_bytes, n_tokens, over_limit, fit_bytes (the bytes of the longest prefix within the limit) and prefix_tokens.
 
-    vocabulary is the path of a byte-level BPE .json that executors can open. A null text is empty: 0 bytes,
-    0 tokens, not over the limit. Repeated rows each give a row; other columns are ignored; an empty table
+    prefix_tokens holds the count up to the end of each chunk (a word with the space before it), from which within_budget answers for any
+    other budget without encoding the text again. vocabulary is the path of a byte-level BPE .json that executors can open. A null text
+    is empty: 0 bytes, 0 tokens, no chunks, not over the limit. Repeated rows each give a row; other columns are ignored; an empty table
     gives an empty result. Texts of any length are done whole; memory follows the longest text.
     """
     kind = df.schema[id_col].dataType.simpleString()
@@ -298,15 +306,51 @@ def token_counts(df: DataFrame, vocabulary: str, limit: int = 512, id_col: str =
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             raw = as_bytes(batch.column(1))
-            found = [counter.fit(t, limit) if t else (0, 0) for t in raw]
-            n = [c for c, _ in found]
+            sums = [counter.sums(t) if t else [] for t in raw]
+            n = [x[-1] if x else 0 for x in sums]
+            fits = [counter.fit(t, limit, x)[1] if c > limit else len(t) for t, x, c in zip(raw, sums, n, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array(n, pa.int64()), pa.array([c > limit for c in n], pa.bool_()), pa.array([f for _, f in found], pa.int64())],
-                names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes"],
+                [batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array(n, pa.int64()), pa.array([c > limit for c in n], pa.bool_()), pa.array(fits, pa.int64()), pa.array(sums, pa.list_(pa.int32()))],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit", "fit_bytes", "prefix_tokens"],
             )
 
         return run
 
-    return map_arrow(texts(df, id_col, text_col), make, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long").withColumnRenamed("doc_id", id_col)
+    return map_arrow(texts(df, id_col, text_col), make, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_bytes long, prefix_tokens array<int>").withColumnRenamed("doc_id", id_col)
+
+
+def within_budget(counted: DataFrame, vocabulary: str, budget: Column | int, text_col: str = "text") -> DataFrame:
+    """Adds fits, the bytes of the longest prefix with at most budget tokens: counted has the texts beside their prefix_tokens.
+
+    The chunk is found in prefix_tokens; only the pieces of that one are looked at, but in texts that hold a special token's string. A null
+    or negative budget, and a null text, fit 0 bytes. Further columns stay whatever their names; an empty table gives an empty result.
+    """
+    names, wanted = counted.columns, budget if isinstance(budget, Column) else F.lit(budget)
+    plain = counted.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.coalesce(wanted.cast("int"), F.lit(-1)).alias("budget"))
+    text, sums = names.index(text_col), names.index("prefix_tokens")
+
+    def make():
+        counter = PrefixCounter(vocabulary)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = zip(as_bytes(batch.column(text)), batch.column(sums), batch.column(len(names)).to_pylist(), strict=True)
+            found = [counter.fit(t, n, Sums(x.values))[1] if t and n >= 0 else 0 for t, x, n in rows]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=[*batch.schema.names[:-1], "fits"])
+
+        return run
+
+    kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(counted.schema.fields))
+    return map_arrow(plain, make, f"{kinds}, fits long").toDF(*names, "fits")
+
+
+class Sums:
+    """A list of an Arrow column, of which few entries are read."""
+
+    def __init__(self, values: pa.Array):
+        self.values = values.to_numpy(zero_copy_only=False)
 
+    def __len__(self) -> int:
+        return len(self.values)
 
+    def __getitem__(self, i: int) -> int:
+        return int(self.values[i])

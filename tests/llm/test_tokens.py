@@ -2,11 +2,12 @@ import random
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import sentencepiece
 from tokenizers import Tokenizer
 
 from careerlake.llm.merge_dropout import Segmenter, decoded, segmentations
-from careerlake.llm.token_counts import PrefixCounter, prefix_counts, token_counts
+from careerlake.llm.token_counts import PrefixCounter, prefix_counts, token_counts, within_budget
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 PARTS = ["a", "th", "e", " ", " ", "  ", "\n", "\n ", "'s", "'", "'ll", "é", "中", "12", "!", "?!", " \t", " ", "<|endoftext|>", "ing", "tion", "▁", "<s>", "😀"]
@@ -29,10 +30,36 @@ def test_every_prefix_and_budget_matches_the_library(counter):
         want = [n(s[:i]) for i in range(len(s) + 1)]
         assert prefix_counts(counter, s) == want
         assert counter.count(s.encode()) == want[-1]
-        if "<|" not in s:
-            for budget in (0, 1, 3, 6):
-                longest = max(len(s[:i].encode()) for i in range(len(s) + 1) if want[i] <= budget)
-                assert counter.fit(s.encode(), budget) == (want[-1], longest)
+        for budget in (0, 1, 3, 6):
+            longest = max(len(s[:i].encode()) for i in range(len(s) + 1) if want[i] <= budget)
+            assert counter.fit(s.encode(), budget) == (want[-1], longest)
+
+
+def test_budgets_at_special_tokens(counter):
+    t = Tokenizer.from_file(BPE)
+    rng = random.Random(3)
+    units = ["a", "é", " ", "  ", "\n", "'s", "12", "<|endoftext|>", "<|endof", "<|", "text|>", "!", "word", " the", "\t"]
+    for s in ["é  \n <|endoftext|>", *("".join(rng.choices(units, k=rng.randint(1, 9))) for _ in range(600))]:
+        want = [len(t.encode(s[:i], add_special_tokens=False).ids) for i in range(len(s) + 1)]
+        for budget in (0, 2, 5):
+            longest = max(len(s[:i].encode()) for i in range(len(s) + 1) if want[i] <= budget)
+            assert counter.fit(s.encode(), budget) == (want[-1], longest), (s, budget)
+
+
+def test_any_budget_from_the_stored_counts(spark):
+    t = Tokenizer.from_file(BPE)
+    rows = [(i, s, i % 9) for i, s in enumerate([*texts(60, 5), "", "one two  three\n four <|endoftext|> five"])] + [(None, None, 3), (7, "again and again", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, budget int").withColumn("a.b", F.lit(1))
+    counted = token_counts(df, BPE).select("doc_id", "n_tokens", "prefix_tokens").distinct()
+    both = df.join(counted, df.doc_id.eqNullSafe(counted.doc_id)).drop(counted.doc_id).filter((F.col("doc_id") != 7) | F.col("doc_id").isNull())
+    got = within_budget(both, BPE, F.col("budget")).collect()
+    assert len(got) == len(rows) - 2
+    for r in got:
+        n = lambda s: len(t.encode(s, add_special_tokens=False).ids)
+        s = r.text or ""
+        assert r.fits == max(len(s[:i].encode()) for i in range(len(s) + 1) if n(s[:i]) <= r.budget) and r["a.b"] == 1
+        assert (r.prefix_tokens or [0])[-1] == n(s) == r.n_tokens
+    assert [r.fits for r in within_budget(both.limit(3), BPE, -1).collect()] == [0, 0, 0] and within_budget(both.limit(0), BPE, 5).count() == 0
 
 
 def test_one_very_long_word(counter):
