@@ -180,3 +180,19 @@ def test_nearest_with_repeated_ids_ties_and_lengths(spark):
             want += [(i, (), rank, j, -s) for rank, (s, j) in enumerate(others, 1)]
     want.sort()
     assert [(a[0], a[2], a[3]) for a in got] == [(a[0], a[2], a[3]) for a in want] and np.allclose([a[4] for a in got], [a[4] for a in want])
+
+
+def test_repeated_ids_of_vectors_and_stored_codes(spark):
+    """Rows of one id with different vectors are told apart by those; stored codes give the same estimates."""
+    from careerlake.llm.embedding_dedup import Codes
+
+    x = vectors()[:60].astype(float)
+    codes = Codes(x)
+    again = Codes.unpack(codes.pack(), x.shape[1])
+    i, j = np.triu_indices(60, 1)
+    assert np.array_equal(codes.estimate(i, j), again.estimate(i, j)) and np.array_equal(codes.bound(i, j, 3.5), again.bound(i, j, 3.5))
+    part = Codes(x[30:])
+    assert np.array_equal(part.code, codes.code[30:]) and all(np.array_equal(a, b[30:]) for a, b in zip(part.planes, codes.planes, strict=True))
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [2.0, 0.01], 1), (3, [0.0, 1.0], 1), (3, [3.0, 0.0], 1)]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == [(1, 3, 1), (1, 3, 1), (2, 3, 1), (3, 0, 3), (3, 3, 1)]
