@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from careerlake.functions import urls
 
 LEAST_SUCCESS, MOST_ERRORS = 0.9, 0.25
+# The reasons that an audit report gives.
 REASONS = {
     "invalid_url": "seed must start with http:// or https://",
     "excluded_internal_or_staging": "seed looks like an internal, staging, sandbox, or training portal",

@@ -100,6 +100,29 @@ def test_anti_join_prunes_partitions(spark, tmp_path):
     assert [r.run_date for r in lakehouse.expired_partitions(rows, "2026-03-10", 8).collect()] == [D1]
 
 
+def test_named_statements_and_stored_views(spark, tmp_path):
+    """Tables by DDL, promotion by insert, and gold views that another session sees, each equal to the DataFrame plan."""
+    spark.sql("create database if not exists named")
+    pages = spark.createDataFrame([(u, h, None, "seed") for u, h in (page(3001), page(3002, " x"), page(3003))], "url string, html string, portal_key string, input_seed_url string")
+    for day, some in ((D1, pages), (D2, pages.limit(2)), (D3, pages)):
+        workflow.run_daily(spark, some, workflow.Config(str(tmp_path), "named"), day, "r")
+    named.run(spark, "bronze_table", table="named.bronze", location=f"{tmp_path}/bronze/jobs")
+    spark.sql("msck repair table named.bronze")
+    bronze = spark.table("named.bronze")
+    assert bronze.count() == 8
+    for name, rows in (("curated", lakehouse.curated(bronze)), ("history", lakehouse.history(bronze))):
+        named.run(spark, f"{name}_create", target=f"named.{name}", bronze="named.bronze")
+        assert spark.table(f"named.{name}").exceptAll(rows).count() == 0 and spark.table(f"named.{name}").count() == 8
+        named.run(spark, f"{name}_insert", target=f"named.{name}", bronze="named.bronze", run_date=D2)
+        assert spark.table(f"named.{name}").count() == 8
+    named.views(spark, "named.curated", "named.history", "named")
+    other = spark.newSession()
+    plans = {"gold_portal_daily_summary": lakehouse.portal_daily_summary(spark.table("named.curated")), "gold_job_change_events": lakehouse.change_events(spark.table("named.history")), "gold_job_lifecycle_summary": lakehouse.lifecycle_summary(spark.table("named.history"))}
+    for name, plan in plans.items():
+        got = other.table(f"named.{name}")
+        assert got.columns == plan.columns and sorted(map(repr, got.collect())) == sorted(map(repr, plan.collect())) and plan.count()
+
+
 def test_overrides_and_retries():
     assert workflow.override(None, None) is None and workflow.override(D1, "r") == (D1, "r")
     with pytest.raises(ValueError):
