@@ -1,8 +1,8 @@
 """Quality: a regularised quadratic discriminant over transformed document statistics.
 
 Each class is a Gaussian over the statistics of its texts. A class's covariance is shrunk towards the pooled one and
-towards a multiple of the identity; its Cholesky factor is kept with the model, so a score costs one triangular
-product for each class: the difference of two Mahalanobis log-densities, with the class shares as priors.
+towards the pooled variances alone, each statistic having its own scale; its Cholesky factor is inverted once and kept with the
+model, so a score costs one triangular product for each class: the difference of two Mahalanobis log-densities, with the class shares as priors.
 Moments are summed over all labelled training rows.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careerlake.llm.common import filter_arrow, Saved, as_bytes, map_arrow, texts
+from careerlake.llm.common import Saved, as_bytes, filter_arrow, map_arrow, texts
 from careerlake.llm.toxicity import clean_labels
 
 UPPER = bytes(range(65, 91))
@@ -71,25 +71,28 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 @dataclass
 class Model:
-    """Log priors, means and Cholesky factors (of the covariances) of classes 0 and 1."""
+    """Log priors, means and Cholesky factors (of the covariances) of classes 0 and 1; whiten: the factors' inverses."""
 
     log_prior: np.ndarray
     mean: np.ndarray
     factor: np.ndarray
 
+    def __post_init__(self):
+        self.whiten = np.linalg.inv(self.factor)
+
     def score(self, x: np.ndarray) -> np.ndarray:
         """Probability of class 1 for each row of x."""
         density = []
         for k in (0, 1):
-            u = np.linalg.solve(self.factor[k], (x - self.mean[k]).T)
+            u = self.whiten[k] @ (x - self.mean[k]).T
             density.append(self.log_prior[k] - 0.5 * np.sum(u * u, axis=0) - np.sum(np.log(np.diag(self.factor[k]))))
         return 1 / (1 + np.exp(np.clip(density[0] - density[1], -500, 500)))
 
 
-def fit(stats: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality", to_pooled: float = 0.3, to_identity: float = 0.05) -> Model:
+def fit(stats: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality", to_pooled: float = 0.3, to_variances: float = 0.05) -> Model:
     """Sums the moments of all labelled rows for which train (a condition on doc_id) holds.
 
-    to_pooled and to_identity are the shrinkage weights. Null, odd or disagreeing labels aren't used. A class without
+    to_pooled and to_variances are the shrinkage weights. Null, odd or disagreeing labels aren't used. A class without
     rows has the other's moments, so that scores are the smoothed class share; without any rows they are 0.5.
     """
     d = len(STATISTICS)
@@ -111,7 +114,7 @@ def fit(stats: DataFrame, labels: DataFrame, train: Column, label_col: str = "qu
             mean[k] = mean[1 - k]
         own = scatter[k] / max(1.0, n[k] - 1) if n[k] > d else pooled
         c = (1 - to_pooled) * own + to_pooled * pooled
-        c = (1 - to_identity) * c + to_identity * np.diag(np.diag(pooled))
+        c = (1 - to_variances) * c + to_variances * np.diag(np.diag(pooled))
         factor[k] = np.linalg.cholesky(c)
     return Model(np.log((n + 0.5) / (n.sum() + 1)), mean, factor)
 
