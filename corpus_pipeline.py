@@ -1,4 +1,10 @@
-"""The corpus pipeline: toxicity, quality, near duplicates, mixing, encoding, each over all that the stage before kept."""
+"""The corpus pipeline: toxicity, quality, near duplicates, mixing, encoding, each over all that the stage before kept.
+
+In every stage a null text counts as an empty one; rows that repeat an id are judged, drawn and encoded alike, but that one of them stays
+for near duplicates, where rows with a null id all stay; further columns stay but for the last stage, whatever their names; an empty
+table gives an empty result. The simhash stage keeps to the terms of op2 (three-word shingles, 3 bits), not to five words and a similarity of
+0.8: fingerprints of texts as similar as 0.8 differ in some ten bits of 64, which no ball of bits reaches.
+"""
 
 from __future__ import annotations
 
