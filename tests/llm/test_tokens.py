@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 import sentencepiece
+import xxhash
 from tokenizers import Tokenizer
 
 from careerlake.llm.merge_dropout import Segmenter, decoded, segmentations
@@ -152,3 +153,46 @@ def test_skips_are_as_frequent_as_the_rate():
     s = Segmenter(PIECES, 0.1, seed=1)
     n = sum(len(s.skipped(k, 10_000)) - 1 for k in range(50))
     assert abs(n / 500_000 - 0.1) < 0.003 and s.skipped(1, 100)[:-1] == [x for x in s.skipped(1, 1_000) if x < 100]
+
+
+def plain_agenda(s, text, key):
+    """The ids of a text of single spaces, by trying every neighbouring pair at each turn; draws from the counter's formula."""
+    start, turn, out = xxhash.xxh64_intdigest(b"%d:%d" % (s.seed, key)), 0, []
+
+    def drawn(k):
+        z = (start + (k // 4 + 1) * 0x9E3779B97F4A7C15) % 2**64
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        z = (z ^ z >> 27) * 0x94D049BB133111EB % 2**64
+        return (z ^ z >> 31) >> 16 * (k % 4) & 0xFFFF
+
+    for word in text.split(" "):
+        for mark, rest in s.parts("▁" + word) or [("▁", word)]:
+            symbols, skipped = [(c, object()) for c in mark + rest], set()
+            while True:
+                pairs = [(s.rank[a + b], i) for i, ((a, x), (b, y)) in enumerate(zip(symbols, symbols[1:])) if a + b in s.rank and (x, y) not in skipped]  # noqa: B905
+                if not pairs:
+                    break
+                _, i = min(pairs)
+                turn += 1
+                (a, x), (b, y) = symbols[i : i + 2]
+                if drawn(turn - 1) < s.limit:
+                    skipped.add((x, y))
+                else:
+                    symbols[i : i + 2] = [(a + b, object())]
+            for piece, _ in symbols:
+                out += [s.ids[piece]] if piece in s.ids else [s.bytes[b] for b in piece.encode()]
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.5, 1.0])
+def test_dropout_against_a_plain_agenda(rate):
+    rng = random.Random(6)
+    s = Segmenter(public_tokenizers.path("piece_bpe_32k.model"), rate, 5)
+    words = ["the", "internationalization", "of", "naïve", "state-of-the-art.", "don't", "1234", "x" * 80, "Überraschung!", "日本", "a"]
+    seen = set()
+    for key in range(60):
+        text = " ".join(rng.choices(words, k=rng.randint(1, 12)))
+        got = s.encode(text, key).tolist()
+        assert got == plain_agenda(s, text, key)
+        seen.add(tuple(s.encode("internationalization", key).tolist()))
+    assert (len(seen) > 5) == (0 < rate < 1)
