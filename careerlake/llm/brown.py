@@ -62,7 +62,7 @@ class Items(dict):
         item = form(word)
         if len(word) <= 64:
             self.others += 1
-            if self.others > 150_000:
+            if self.others > 100_000:
                 self.others = 0
                 self.begin()
             self[word] = item
@@ -191,7 +191,7 @@ def encode(docs: DataFrame, frequent: list[bytes], counts: np.ndarray, kind: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item = Items(frequent)
-        for b in batches:
+        for b in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):  # words of few texts at once
             ids, known, gain, rare = [], [], [], []
             for t in as_bytes(b.column(1)):
                 found = [*tokens(t), END]
@@ -329,7 +329,7 @@ def cluster(words: DataFrame, table: list[tuple[bytes, int]], local: DataFrame,
     return Model(frequent, counts, of, transition, emission, total, vocabulary, float(counts.sum() / total))
 
 
-def learn(train: DataFrame, own: int = 768, known: int = 262_144, classes: int = 64, mu: float = 20.0, rounds: int = 3) -> Counts:
+def learn(train: DataFrame, own: int = 768, known: int = 196_608, classes: int = 64, mu: float = 20.0, rounds: int = 3) -> Counts:
     """Counts all training texts (column text) and fits the model.
 
     own: words that move on their own first; known: words of the table, which tasks hold (both bound what is sent out);
@@ -383,7 +383,7 @@ def text_scores(docs: DataFrame, learnt: Counts, id_col: str = "doc_id", text_co
     return score(encode(rows, learnt.model.frequent, learnt.model.counts, docs.schema[id_col].dataType.simpleString()), learnt, id_col)
 
 
-def class_model_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", own: int = 768, known: int = 262_144, classes: int = 64, mu: float = 20.0, rounds: int = 3) -> DataFrame:
+def class_model_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", own: int = 768, known: int = 196_608, classes: int = 64, mu: float = 20.0, rounds: int = 3) -> DataFrame:
     """Learns from the rows for which train (a condition on doc_id) holds and scores all, as learn and text_scores do with the texts encoded once."""
     rows = texts(docs, id_col, text_col).withColumn("learns", F.coalesce(train, F.lit(False)))
     words = count_words(rows.filter("learns"))
