@@ -47,12 +47,14 @@ def portal_rows(requests: DataFrame, responses: DataFrame, items: DataFrame, dro
     """One row for each portal in any of the facts; counts default to 0, rates without a base to null (duplicates: 0)."""
     counters = [f.name for f in PORTAL_SUMMARY if f.dataType.simpleString() == "bigint"] + [f"_{n}" for n in ITEM_FIELDS]
     one = lambda cond: F.when(cond, 1).otherwise(0)
+    times = F.col("n") if "n" in drops.columns else F.lit(1)  # drops may be counted already
+    many = lambda cond: F.when(cond, times).otherwise(0)
     kind = F.col("kind")
     facts = [
         requests.select("portal_key", F.lit(1).alias("requests_total"), *[one(kind == k).alias(f"{k}_requests_total") for k in KINDS]),
         responses.select("portal_key", F.lit(1).alias("responses_total"), one(F.coalesce(F.col("status") >= 400, F.lit(False))).alias("error_responses_total")),
         items.select("portal_key", F.lit(1).alias("jobs_exported_total"), *[one(_filled(c, dict(items.dtypes)[c])).alias(f"_{n}") for n, c in ITEM_FIELDS.items()]),
-        drops.select("portal_key", one(F.col("reason") == "quarantine").alias("jobs_quarantined_total"), one(F.col("reason") == "duplicate").alias("duplicates_dropped_total")),
+        drops.select("portal_key", many(F.col("reason") == "quarantine").alias("jobs_quarantined_total"), many(F.col("reason") == "duplicate").alias("duplicates_dropped_total")),
     ]
     # each kind of fact is summed to a row for each portal before they meet
     summed = [f.groupBy("portal_key").agg(*[F.sum(c).alias(c) for c in f.columns[1:]]) for f in facts]

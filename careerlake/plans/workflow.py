@@ -131,8 +131,9 @@ def report(config: Config, seen: DataFrame, items: DataFrame, valid: DataFrame,
     responses = seen.select("portal_key", F.col("request_kind").alias("kind"), "status")
     exported = items.groupBy("portal_key").agg(F.count("*").alias("n"))
     dropped = valid.groupBy("portal_key").agg(F.count("*").alias("all")).join(exported, "portal_key", "left")
-    copies = dropped.select("portal_key", F.explode(F.array_repeat(F.lit("duplicate"), (F.col("all") - F.coalesce("n", F.lit(0))).cast("int"))).alias("reason"))
-    drops = copies.unionByName(checked.filter("record_status = 'quarantined'").select("portal_key", F.lit("quarantine").alias("reason")))
+    copies = dropped.select("portal_key", F.lit("duplicate").alias("reason"), (F.col("all") - F.coalesce("n", F.lit(0))).alias("n"))
+    bad = checked.filter("record_status = 'quarantined'").groupBy("portal_key").agg(F.count("*").alias("n"))
+    drops = copies.unionByName(bad.select("portal_key", F.lit("quarantine").alias("reason"), "n"))
     portals = telemetry.portal_rows(requests, responses, items, drops)
     writers.portal_summary(portals, f"{root}/ops/portal_summary/{own}")
     summary = telemetry.run_summary(portals)
