@@ -155,14 +155,14 @@ def _close(t: pa.Table, threshold: float, e: float) -> pa.Table:
 
 
 def _links(t: pa.Table, threshold: float) -> pa.Table:
-    """By exact cosines: each class's links, and a spanning forest of them."""
+    """By exact cosines: each class's links, and a spanning forest of them between the smallest ids."""
 
     def unit(rows: pa.Table, d: int) -> np.ndarray:
         x = matrix(rows.column("v").combine_chunks())
         return x / np.linalg.norm(x, axis=1, keepdims=True)
 
     vectors, place = _by_length(t, unit)
-    ids, size, lengths = (t.column(c).to_numpy() for c in ("c", "n", "d"))
+    ids, size, lengths, node = (t.column(c).to_numpy() for c in ("c", "n", "d", "least"))
     degree, forest, edges = np.zeros(t.num_rows, np.int64), Forest(), []
     for i, j in _pairs(t):
         for x, a, b in _split(vectors, lengths, i, j):
@@ -170,7 +170,7 @@ def _links(t: pa.Table, threshold: float) -> pa.Table:
             a, b = a[near], b[near]
             np.add.at(degree, a, size[b])
             np.add.at(degree, b, size[a])
-            edges.extend(p for p in zip(ids[a].tolist(), ids[b].tolist(), strict=True) if forest.join(*p))
+            edges.extend(p for p in zip(node[a].tolist(), node[b].tolist(), strict=True) if forest.join(*p))
     some, k = np.flatnonzero(degree), len(edges)
     return pa.table(
         {
@@ -218,7 +218,7 @@ def near_duplicate_vectors(df: DataFrame, threshold: float = 0.98, miss: float =
     Vectors are linked if their labels are equal and not null, their lengths are equal and their cosine, in double
     precision, reaches the threshold. Vectors that are null, zero or hold null or non-finite components, and rows with a
     null label or id, link with nothing: 0 links, a component of their own, kept. A row that repeats an id and a vector counts as a
-    copy of it. Further columns are ignored; an empty table gives an empty result.
+    copy of it; rows of one id with different vectors have their own links, and are one node of the components. Further columns are ignored; an empty table gives an empty result.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     takes_part = usable("v") & F.col("label").isNotNull() & F.col("id").isNotNull()
@@ -262,15 +262,13 @@ def near_duplicate_vectors(df: DataFrame, threshold: float = 0.98, miss: float =
     sorted_rows = dealt.select(F.xxhash64(*bucket, "pair").alias("g"), *PLACES[1:], "d", "code").repartition("g").sortWithinPartitions("g")
     close = Saved(sorted_rows.mapInArrow(_runs(lambda t: _close(t, threshold, e)), PLACE), "close-vectors").df
     kind = "array<float>" if _floats(df, vector_col) else "array<double>"
-    vectors = close.join(classes.select("c", F.size("v").alias("d"), F.col("v").cast(kind).alias("v")), "c")
-    sorted_rows = vectors.select(*PLACES, "d", "v").repartition("g").sortWithinPartitions("g")
+    vectors = close.join(classes.select("c", "least", F.size("v").alias("d"), F.col("v").cast(kind).alias("v")), "c")
+    sorted_rows = vectors.select(*PLACES, "least", "d", "v").repartition("g").sortWithinPartitions("g")
     found = Saved(sorted_rows.mapInArrow(_runs(lambda t: _links(t, threshold)), "a long, b long, links long"), "vector-links").df
     roots = components(found.filter("b is not null").select("a", "b"))
     counts = found.filter("b is null").groupBy(F.col("a").alias("c")).agg(F.sum("links").alias("links"))
-    at = classes.join(counts, "c", "left").join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
-    at = Saved(at.select("label", "v", "least", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "root"), "vector-degrees").df
-    smallest = at.filter("root is not null").groupBy("root").agg(F.min("least").alias("smallest"))
-    known = Saved(at.join(smallest, "root", "left").select("label", "v", "links", F.coalesce("smallest", "least").alias("root")), "vector-components").df
+    known = classes.join(counts, "c", "left").join(roots.select(F.col("node").alias("least"), "root"), "least", "left")
+    known = Saved(known.select("label", "v", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("root", "least").alias("root")), "vector-components").df
     joined = rows.filter(takes_part).join(known, ["label", "v"])
     alone = rows.filter(~F.coalesce(takes_part, F.lit(False))).select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("root"))
     whole = joined.select("id", "links", "root").unionByName(alone)
