@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerlake.llm import mixing
+from careerlake.llm import centroids, hard_negatives, mixing, url_filter
 from careerlake.llm.common import held_out, read
 
 
@@ -79,6 +79,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(read(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, salt="2")
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
+    return url_filter.judge(read(spark, sf_dir, "pages"), rules)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0, positives=5, negatives=5, least=80, most=100, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_brown_lm": op1_brown_lm,
     "op2_simhash": op2_simhash,
@@ -90,7 +105,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_clusters": op11_clusters,
+    "op12_url_filter": op12_url_filter,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op8_mixing": mixing.oracle_sql(),
+    "op11_clusters": centroids.oracle_sql(),
+    "op12_url_filter": url_filter.oracle_sql(),
+    "op13_hard_negatives": hard_negatives.oracle_sql(),
+}
