@@ -103,7 +103,7 @@ class Best:
         self.row, self.score, self.col = np.append(self.row[~mine], r[keep]), np.append(self.score[~mine], v[keep]), np.append(self.col[~mine], c[keep])
 
 
-def search(anchors: Tree, candidates: Tree, a_row: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, best: Best, same: bool, at_once: int = 2048) -> int:
+def search(anchors: Tree, candidates: Tree, a_row: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, best: Best, same: bool, at_once: int = 1024) -> int:
     """Offers best all pairs that may matter, of one label (same) or of two; rows are by place in the trees, and a row isn't paired with itself.
     Returns how many scores were computed."""
     scored = 0

@@ -128,15 +128,16 @@ def _by_trie(rows: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def _by_join(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same as a join: distinct hosts and folders of the URLs against hosts and folders of the rules, the longest rule by URL."""
+    """The same as a join: hosts and folders of the distinct URLs, as deep as any rule goes, against those of the rules; the longest rule by URL."""
+    deep = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("labels"), F.max(F.size(F.split("path", "/"))).alias("parts")).first()
     folder, tail = r"(?s)^(.*/)?[^/]*$", r"(?s)([^/]*)$"
     kept = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block is the larger
     kept = kept.select(F.col("host").alias("at"), F.regexp_extract("path", folder, 1).alias("folder"), F.regexp_extract("path", tail, 1).alias("tail"), F.concat("host", "path").alias("rule"), "verdict")
     urls = rows.select("host", "path").distinct()
     labels, parts = F.split("host", r"\."), F.split("path", "/")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(deep["labels"] or 1))), lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
     # each folder that the path is in, with the segment that follows
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(F.when(i == 1, "").otherwise(F.concat(F.array_join(F.slice(parts, F.lit(1), i - 1), "/"), F.lit("/"))).alias("folder"), F.element_at(parts, i).alias("next")))
+    above = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(deep["parts"] or 1))), lambda i: F.struct(F.when(i == 1, "").otherwise(F.concat(F.array_join(F.slice(parts, F.lit(1), i - 1), "/"), F.lit("/"))).alias("folder"), F.element_at(parts, i).alias("next")))
     asked = urls.withColumn("at", F.explode(hosts)).withColumn("f", F.explode(above)).select("host", "path", "at", "f.folder", "f.next")
     met = asked.join(kept, ["at", "folder"]).filter(F.startswith("next", "tail"))
     best = met.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), F.length("at"))).alias("best"))
