@@ -121,15 +121,17 @@ def alarms(metrics: DataFrame, rules: dict[str, tuple[str, str, float]] | None =
     return windows.withColumn("breaching", breach)
 
 
-def manifest(counters: DataFrame, summary: DataFrame, discovered: DataFrame, run: dict[str, str], seconds: float | None = None, artifacts: dict[str, str] | None = None) -> DataFrame:
-    """The run's manifest: one nested row from the one-row results above."""
+def manifest(counters: DataFrame, summary: DataFrame, discovered: DataFrame, run: dict, seconds: float | None = None, artifacts: dict[str, str] | None = None) -> DataFrame:
+    """The run's manifest: one nested row from the one-row results above. run has what is known of the run and its origin; the rest is null."""
     c, s, d = counters.select(F.struct("*").alias("c")), summary.select(F.struct("*").alias("s")), discovered.select(F.struct("*").alias("d"))
     all_rows = c.join(s, F.lit(True)).join(d, F.lit(True))  # one row each
     text = lambda k, of=run: F.lit(of.get(k)).cast("string").alias(k)
     counts = F.struct(F.col("d.jobs_discovered_total").alias("jobs_discovered_total"), F.col("s.job_detail_requests_total").alias("job_detail_requests_total"), F.col("c.jobs_exported_total").alias("jobs_exported_total"), F.col("s.jobs_quarantined_total").alias("jobs_quarantined_total"), F.col("s.duplicates_dropped_total").alias("duplicates_dropped_total"))
     quality = F.struct(F.col("s.job_detail_success_rate").alias("job_detail_success_rate"), *[F.col(f"c.{k}_completeness_pct").alias(f"{n}_completeness_pct") for n, k in (("description", "description_text"), ("apply_url", "apply_url"), ("posted_date", "posted_date"))])
     places = F.struct(*[text(k, artifacts or {}) for k in ("jobs_feed_uri", "metrics_uri", "run_manifest_uri", "quarantine_uri", "portal_summary_uri")])
-    return all_rows.select(*[text(k) for k in ("run_id", "run_date", "started_at", "finished_at", "close_reason", "project", "stage")], F.lit(seconds).cast("double").alias("run_duration_seconds"), counts.alias("counts"), quality.alias("quality"), places.alias("artifacts"))
+    seeds = F.lit(run.get("input_seed_count")).cast("long").alias("input_seed_count")
+    origin = ("run_id", "run_date", "started_at", "finished_at", "close_reason", "project", "stage", "spider", "deploy_env", "image_tag", "git_sha", "input_seed_file", "input_file_sha256")
+    return all_rows.select(*[text(k) for k in origin], seeds, F.lit(seconds).cast("double").alias("run_duration_seconds"), counts.alias("counts"), quality.alias("quality"), places.alias("artifacts"))
 
 
 def run_metrics(manifests: DataFrame) -> DataFrame:
@@ -144,8 +146,7 @@ def run_metrics(manifests: DataFrame) -> DataFrame:
         "RunFailed": F.when(F.col("close_reason") == "finished", 0).otherwise(1),
     }
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), v.cast("double").alias("value")) for n, v in points.items()])).alias("p")
-    return manifests.select(F.to_timestamp("finished_at").alias("ts"), "project", "stage", "run_id", each).select("ts", "project", "stage", "run_id", "p.name", "p.value").filter("value is not null")
-
+    return manifests.select(F.to_timestamp("finished_at").alias("ts"), "project", "stage", "spider", "run_id", each).select("ts", "project", "stage", "spider", "run_id", "p.name", "p.value").filter("value is not null")
 
 
 

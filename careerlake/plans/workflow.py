@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 import time
 from collections.abc import Callable
@@ -9,15 +10,18 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careerlake.functions import urls
-from careerlake.operators import dedupe, records, telemetry
+from careerlake.operators import dedupe, frontier, records, seeds, telemetry
 from careerlake.operators.extraction import extract_jobs
 from careerlake.plans import gate, lakehouse
 from careerlake.schemas import JOB
-from careerlake.sources import readers, writers
+from careerlake.sources import readers, registry_log, writers
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -31,6 +35,10 @@ class Config:
     registry_errors: str = "fail"  # or "pass": an unreadable registry lets everything pass
     gated: bool = False  # whether a run that doesn't pass the gate raises, after all is written
     stage: str = "dev"
+    spider: str = "careers"
+    deploy_env: str | None = None
+    image_tag: str | None = None
+    git_sha: str | None = None
     tries: int = 3
     retry_wait: float = 20.0
 
@@ -84,17 +92,25 @@ def _kinds(pages: DataFrame) -> DataFrame:
     return pages.select("url", "html", own.alias("portal_key"), F.col("input_seed_url").cast("string").alias("input_seed_url"), kind.alias("request_kind"), status.alias("status"))
 
 
-def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: str | None, run_id: str) -> dict[str, int]:
-    """Returns the rows promoted to the curated and history tables. Safe to run again: each output is the run's own folder, replaced.
+def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: str | None, run_id: str, seed_file: str | None = None) -> dict[str, int]:
+    """Returns the rows promoted to the curated and history tables. Safe to run again: each output is the run's own folder or file, replaced even if the
+    rerun has no rows for it. What was promoted before stays, as promotion only adds; lakehouse.restate replaces a day.
 
-    In turn: job records of the detail pages, each parsed once; quarantine; duplicates of the run, and of earlier runs by the registry, which
-    takes the new ones; the feed; promotion, tried again after failures; portal summary, manifest and metrics; the gate.
-    run_date: today if null. pages may have request_kind and status, which the telemetry counts.
+    In turn: job records of the detail pages, each parsed once; quarantine; duplicates of the run, and of other runs by the registry, which
+    takes the new ones, runs at the same time included; the feed; promotion, tried again after failures; portal summary, manifest and metrics; the gate.
+    run_date: today if null. pages may have request_kind and status, which the telemetry counts. With a seed file (CSV) only the stored pages that its
+    seeds lead to are taken, with the kinds and portals of their requests.
     """
     run_date = today() if run_date is None else run_date
     override(run_date, run_id)
     started = datetime.now(UTC)
     root, own = config.root.rstrip("/"), f"run_date={run_date}/run_id={run_id}"
+    dump(spark, config, {}, "open", own)
+    origin = {"spider": config.spider, "deploy_env": config.deploy_env, "image_tag": config.image_tag, "git_sha": config.git_sha, "input_seed_file": seed_file}
+    if seed_file:
+        known_seeds = seeds.load(readers.seed_csv(spark, seed_file))
+        origin |= {"input_file_sha256": readers.file_digest(spark, seed_file).first()["sha256"], "input_seed_count": known_seeds.count()}
+        pages = frontier.requested(frontier.crawl(seeds.requests(known_seeds), pages), pages)
     seen = _kinds(pages)
     details = seen.filter("request_kind = 'job_detail' and status < 400")
     records.validate(extract_jobs(details, run_id, run_date, f"{run_date}T00:00:00+00:00"), run_date).write.mode("overwrite").parquet(f"{root}/checked/{own}")
@@ -102,29 +118,36 @@ def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: s
     writers.quarantine(checked, f"{root}/quarantine/{own}")
     order = ["scraped_at", "canonical_source_url"]
     valid = records.valid(checked)
-    kept, entries = dedupe.first_in_run(valid, order), None
+    kept = first_in_run = dedupe.first_in_run(valid, order)
     if config.registry:
         now = F.unix_timestamp(F.lit(run_date), "yyyy-MM-dd")
-        known = lambda: readers.registry(spark, f"{root}/registry").filter(F.col("run_id") != run_id)  # noqa: E731  a rerun isn't its own duplicate
-        kept, entries = dedupe.first_seen_or_pass(valid, known, now, order, config.registry_errors)
-        kept = dedupe.first_in_run(kept, order) if entries is None else kept
-    writers.jobs_feed(kept.select(*[f.name for f in JOB]), f"{root}/bronze/jobs")
-    if entries is not None:
-        writers.registry(entries, f"{root}/registry", run_date, run_id)
-    bronze = readers.bronze_jobs(spark, f"{root}/bronze/jobs")
+        try:
+            kept = registry_log.put(registry_log.RegistryLog(spark, f"{root}/registry"), valid, run_id, now, order)
+        except (PySparkException, Py4JJavaError, OSError) as e:
+            if config.registry_errors == "fail":
+                raise
+            log.error("the registry can't be used, all jobs pass: %s", str(e).splitlines()[0])
+    writers.jobs_feed(kept.select(*[f.name for f in JOB]), f"{root}/bronze/jobs", run_date, run_id)
+    bronze = readers.bronze_jobs(spark, f"{root}/bronze/jobs", earliest=run_date, latest=run_date)
     day = bronze.filter(F.col("run_date") == run_date)
     guard_scan(day, config.most_scanned)
     again = lambda rows, table: retry(lambda: lakehouse.promote(spark, rows, f"{config.database}.{table}", run_date), config.tries, config.retry_wait, errors=(OSError, Py4JJavaError))
     promoted = {"curated": again(lakehouse.curated(bronze), "silver_jobs_curated"), "history": again(lakehouse.history(bronze), "silver_jobs_history_snapshot")}
     items = day.filter(F.col("run_id") == run_id)
-    report(config, seen, items, valid, checked, run_date, run_id, started)
+    report(config, seen, items, valid, first_in_run, checked, run_date, run_id, started, origin)
     runs = readers.manifest(spark, f"{root}/manifest/{own}").select("run_id", "close_reason", "counts.jobs_exported_total", "counts.jobs_quarantined_total", "quality.job_detail_success_rate")
     if config.gated:
         gate.require(runs)
     return promoted
 
 
-def report(config: Config, seen: DataFrame, items: DataFrame, valid: DataFrame, checked: DataFrame, run_date: str, run_id: str, started: datetime) -> None:
+def dump(spark: SparkSession, config: Config, stats: dict[str, int], reason: str, own: str) -> None:
+    """The metrics file as it is at the start of a run, before there is anything to sum up."""
+    rows = spark.createDataFrame(list(stats.items()), "name string, value long")
+    writers.metrics(telemetry.metrics_snapshot(rows, spark.range(1).select(F.lit(0).alias("jobs_exported_total")), reason, datetime.now(UTC).isoformat()), f"{config.root.rstrip('/')}/metrics/{own}")
+
+
+def report(config: Config, seen: DataFrame, items: DataFrame, valid: DataFrame, first_in_run: DataFrame, checked: DataFrame, run_date: str, run_id: str, started: datetime, origin: dict) -> None:
     """Writes the run's portal summary, manifest and metrics, each in a folder of its own."""
     root, own = config.root.rstrip("/"), f"run_date={run_date}/run_id={run_id}"
     requests = seen.select("portal_key", F.col("request_kind").alias("kind"))
@@ -140,7 +163,11 @@ def report(config: Config, seen: DataFrame, items: DataFrame, valid: DataFrame,
     found = seen.filter("request_kind = 'job_detail'").agg(F.count_distinct(urls.canonicalize_detail_url(F.col("url"))).alias("jobs_discovered_total"))
     ended = datetime.now(UTC)
     places = {"jobs_feed_uri": f"{root}/bronze/jobs/{own}", "metrics_uri": f"{root}/metrics/{own}", "run_manifest_uri": f"{root}/manifest/{own}", "quarantine_uri": f"{root}/quarantine/{own}", "portal_summary_uri": f"{root}/ops/portal_summary/{own}"}
-    run = {"run_id": run_id, "run_date": run_date, "started_at": started.isoformat(), "finished_at": ended.isoformat(), "close_reason": "finished", "project": "careerlake", "stage": config.stage}
+    run = {"run_id": run_id, "run_date": run_date, "started_at": started.isoformat(), "finished_at": ended.isoformat(), "close_reason": "finished", "project": "careerlake", "stage": config.stage, **origin}
     writers.manifest(telemetry.manifest(telemetry.run_counters(items), summary, found, run, (ended - started).total_seconds(), places), f"{root}/manifest/{own}")
     counts = telemetry.request_counts(requests).select(F.concat_ws("/", F.lit("requests"), "portal_key", "kind").alias("name"), F.col("requests").alias("value"))
+    # of the duplicates, those within the run and those that the registry knew
+    firsts = first_in_run.agg(F.count("*").alias("n")).join(valid.agg(F.count("*").alias("all")), F.lit(True)).join(items.agg(F.count("*").alias("kept")), F.lit(True))
+    copies = firsts.select(F.explode(F.array(F.struct(F.lit("duplicates/in_run").alias("name"), (F.col("all") - F.col("n")).alias("value")), F.struct(F.lit("duplicates/across_runs").alias("name"), (F.col("n") - F.col("kept")).alias("value")))).alias("c")).select("c.*")
+    counts = counts.unionByName(copies)
     writers.metrics(telemetry.metrics_snapshot(counts, summary, "close", ended.isoformat()), f"{root}/metrics/{own}")

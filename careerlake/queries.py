@@ -150,6 +150,19 @@ def gold_change_events(spark, sf_dir):
     return lakehouse.change_events(_snapshots(spark, sf_dir))
 
 
+RESTATED = f", r0 as (select * replace (case when run_date = '{SPLIT_DAY}' and event_id % 5 = 0 then upper(content_hash) || '*' else content_hash end as content_hash) from history where not (run_date = '{SPLIT_DAY}' and event_id % 7 = 0))"
+
+
+@query(ORACLE_SQL["gold_change_events"].replace("from history", "from r0").replace(", days as", RESTATED + ", days as"))
+def restated_change_events(spark, sf_dir):
+    """One day is restated, with jobs gone and others changed: only dates that this may touch are worked out again."""
+    from careerlake.shared import saved
+
+    before, wrong = saved(_snapshots(spark, sf_dir), "snapshots"), F.col("run_date") == SPLIT_DAY
+    after = before.filter(~(wrong & (F.col("event_id") % 7 == 0))).withColumn("content_hash", F.when(wrong & (F.col("event_id") % 5 == 0), F.concat(F.upper("content_hash"), F.lit("*"))).otherwise(F.col("content_hash")))
+    return lakehouse.restated_events(saved(lakehouse.change_events(before), "events"), before, after, SPLIT_DAY)
+
+
 @query(with_views("snapshots") + HISTORY_SQL + ", l as (select max(run_date) as latest_run_date from history), g as (select job_hash, " + ", ".join(f"arg_max_null({c}, run_date) as {c}" for c in lakehouse.LATEST if c != "locations") + ", array_to_string(arg_max_null(locations, run_date), '|') as locations, arg_max_null(content_hash, run_date) as latest_content_hash, min(run_date) as first_seen_run_date, max(run_date) as last_seen_run_date, count(*) as snapshot_count from history group by job_hash) select g.*, latest_run_date, last_seen_run_date < latest_run_date as missing_from_latest_run from g, l")
 def gold_lifecycle_summary(spark, sf_dir):
     return _flat(lakehouse.lifecycle_summary(_snapshots(spark, sf_dir)))
@@ -255,6 +268,28 @@ def registry_ttl_entries(spark, sf_dir):
     return dedupe.first_seen(_late(spark, sf_dir), registry, F.lit(1_705_276_800), ["ts", "event_id"], ttl_days=14)[1]
 
 
+PUT_SQL = f""", mine as (select *, user_id % 2 as side, row_number() over (partition by job_hash, event_id % 2 order by ts, event_id) as place from h where run_date >= '{SPLIT_DAY}' and job_hash is not null),
+  late as (select job_hash, 'late' as run, run_id, portal_key, source_url from mine where event_id % 2 = 1 and place = 1 and job_hash not in (select job_hash from old)),
+  early as (select job_hash, 'early' as run, run_id, portal_key, source_url from mine where event_id % 2 = 0 and place = 1 and job_hash not in (select job_hash from old) and job_hash not in (select job_hash from late))"""
+
+
+@query(with_views("jobs") + SEEN + REGISTRY_SQL + PUT_SQL + " select job_hash, run as first_seen_run_id, portal_key, source_url from late union all select job_hash, run, portal_key, source_url from early union all select job_hash, 'old', null, null from old")
+def registry_of_overlapping_runs(spark, sf_dir):
+    """Two runs put their jobs at once: the one that began first commits last, and keeps only jobs that the other hasn't."""
+    from careerlake import shared
+    from careerlake.sources.registry_log import RegistryLog, put
+
+    log = RegistryLog(spark, shared.scratch(spark, "registry"))
+    none = F.lit(None).cast("string")
+    old = _registry(spark, sf_dir, 60).select("job_hash", F.lit("old").alias("first_seen_run_id"), none.alias("portal_key"), none.alias("source_url"), "first_seen_ts", "expires_at")
+    log.commit(1, [log.write(old, "old")])
+    batch, order = _late(spark, sf_dir), ["ts", "event_id"]
+    now = F.lit(1_705_276_800)
+    late = lambda n: n == 2 and put(log, batch.filter("event_id % 2 = 1"), "late", now, order)  # noqa: E731  between the other's reading and its commit
+    put(log, batch.filter("event_id % 2 = 0"), "early", now, order, before_commit=late)
+    return log.entries().select("job_hash", "first_seen_run_id", "portal_key", "source_url")
+
+
 # -- URLs ------------------------------------------------------------------------------------
 
 
@@ -474,6 +509,33 @@ def _listing(spark, sf_dir):
     return extraction.extract_links(pages)
 
 
+#: A site of the pages: each leads to one 30 further on, some to one 60 back, some nowhere; two job pages each, one of them shared by three.
+CRAWLED = """concat('<article class="article article--result"><a href="/careers/JobDetail/A/', cast(page_id as string), '?x=1">A</a><a href="../JobDetail/B/', cast(cast(floor(page_id / 3) as bigint) as string), '#top">B</a></article>',
+  case when page_id % 1000 = 990 then concat('<a class="paginationNextLink" href="?jobOffset=', cast(page_id - 60 as string), '">next</a>') when page_id % 4 <> 3 then concat('<a href="?jobOffset=', cast(page_id + 30 as string), '">more</a>') else '' end, '<a href="?jobOffset=', cast(page_id as string), '#f">here</a>', html)"""
+CRAWL_SQL = """with recursive n as (select page_id as id, case when page_id % 1000 = 990 then page_id - 60 when page_id % 4 <> 3 then page_id + 30 end as after from pages),
+  start(seed, id) as (select page_id, page_id from pages where page_id < 4 or page_id % 250 = 34 union all select -30, -30),
+  r(seed, id, depth) as (select seed, id, 0 from start union all select r.seed, n.after, r.depth + 1 from r join n using (id) where n.after is not null and r.depth < (select count(*) from n)),
+  best as (select id, min(struct_pack(depth := depth, seed := seed)) as way from r group by id),
+  pg as (select *, 'https://h' || cast(((id % 30) + 30) % 30 as varchar) || '.example.com/careers/SearchJobs/?jobOffset=' || id as url, 'https://h' || cast(((way.seed % 30) + 30) % 30 as varchar) || '.example.com/careers' as home from best),
+  leads as (select 'https://h' || id % 30 || '.example.com/careers/JobDetail/A/' || id as url, way, home from pg where id in (select id from n)
+    union all select 'https://h' || id % 30 || '.example.com/careers/JobDetail/B/' || id // 3, way, home from pg where id in (select id from n))"""
+
+
+@query(CRAWL_SQL + """ select url, case when way.depth = 0 then 'listing' else 'pagination' end as request_kind, way.depth as depth, 'h' || ((way.seed % 30) + 30) % 30 || '.example.com/careers' as portal_key, way.seed as seed, id in (select id from n) as captured from pg
+  union all select url, 'job_detail', min(way).depth + 1, 'h' || ((min(way).seed % 30) + 30) % 30 || '.example.com/careers', min(way).seed, false from leads group by url""")
+def crawl_frontier(spark, sf_dir):
+    """All that seeds lead to over the stored pages: next pages to the end of their chains, circles included, and the job pages."""
+    from careerlake.operators import frontier
+
+    at = lambda c: f"concat('https://h', cast(pmod({c}, 30) as string), '.example.com/careers/SearchJobs/?jobOffset=', cast({c} as string))"
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    listed = pages.selectExpr(f"{at('page_id')} as url", f"{CRAWLED} as html")
+    first = pages.filter("page_id < 4 or page_id % 250 = 34").select("page_id").unionByName(spark.range(1).selectExpr("cast(-30 as bigint) as page_id"))  # the last isn't stored
+    start = first.selectExpr("page_id as pos", f"{at('page_id')} as url")
+    asked = frontier.crawl(seeds.requests(start), listed)
+    return asked.select("url", "request_kind", "depth", "portal_key", F.regexp_extract("input_seed_url", "(-?[0-9]+)$", 1).cast("long").alias("seed"), "captured")
+
+
 @query("select count(distinct page_id) as jobs_discovered_total from pages")
 def discovered_jobs(spark, sf_dir):
     return extraction.discovered(_listing(spark, sf_dir))

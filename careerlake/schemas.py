@@ -41,7 +41,8 @@ PAGE = StructType([*_fields("url html portal_key input_seed_url request_kind", _
 PROBE = StructType([StructField("url", _TEXT), StructField("dns_resolved", BooleanType()), StructField("http_status", IntegerType()), StructField("reason", _TEXT)])
 MANIFEST = StructType(
     [
-        *_fields("run_id run_date started_at finished_at close_reason project stage", _TEXT),
+        *_fields("run_id run_date started_at finished_at close_reason project stage spider deploy_env image_tag git_sha input_seed_file input_file_sha256", _TEXT),
+        StructField("input_seed_count", LongType()),
         StructField("run_duration_seconds", DoubleType()),
         StructField("counts", StructType(_fields("jobs_discovered_total job_detail_requests_total jobs_exported_total jobs_quarantined_total duplicates_dropped_total", LongType()))),
         StructField("quality", StructType(_fields("job_detail_success_rate description_completeness_pct apply_url_completeness_pct posted_date_completeness_pct", DoubleType()))),

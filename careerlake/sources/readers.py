@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from careerlake import shared
 from careerlake.functions.text import strip
-from careerlake.schemas import JOB, MANIFEST, PORTAL_SUMMARY, REGISTRY
+from careerlake.schemas import JOB, MANIFEST, PORTAL_SUMMARY
 
 
 def jsonl(spark: SparkSession, path: str, schema: StructType, earliest: str | None = None, latest: str | None = None) -> DataFrame:
@@ -21,8 +24,24 @@ def jsonl(spark: SparkSession, path: str, schema: StructType, earliest: str | No
     return rows
 
 
+def folders(path: str, earliest: str, latest: str, template: str = "run_date={run_date}") -> list[str]:
+    """The folders of a range of dates, made from the dates and the template alone."""
+    first, last = date.fromisoformat(earliest), date.fromisoformat(latest)
+    return [f"{path.rstrip('/')}/{template.format(run_date=first + timedelta(days=k))}" for k in range((last - first).days + 1)]
+
+
+def projected(spark: SparkSession, path: str, schema: StructType, earliest: str, latest: str, template: str = "run_date={run_date}") -> DataFrame:
+    """JSON Lines of a range of dates by partition projection: no folder outside the range is looked at, and the root isn't listed. Dates without a folder have no rows."""
+    there = [f for f in folders(path, earliest, latest, template) if shared.exists(spark, f)]
+    typed = StructType([*schema.fields, *[StructField(c, StringType()) for c in ("run_date", "run_id") if c not in schema.fieldNames()]])
+    if not there:
+        return spark.createDataFrame([], typed)
+    return spark.read.schema(typed).option("mode", "FAILFAST").option("basePath", path).json(there)
+
+
 def bronze_jobs(spark: SparkSession, path: str, **dates: str) -> DataFrame:
-    return jsonl(spark, path, JOB, **dates)
+    """The feed; with both ends of a range of dates its folders are projected, not listed."""
+    return projected(spark, path, JOB, **dates) if {"earliest", "latest"} <= set(dates) else jsonl(spark, path, JOB, **dates)
 
 
 def ops_portal_summary(spark: SparkSession, path: str, **dates: str) -> DataFrame:
@@ -44,14 +63,6 @@ def seed_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.monotonically_increasing_id().alias("pos"), value.alias("raw_value")).filter("raw_value <> '' and not startswith(raw_value, '#')")
 
 
-def registry(spark: SparkSession, path: str) -> DataFrame:
-    """First sights of all runs, with the run_date and run_id of the folders; empty before the first run."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    schema = StructType([*REGISTRY.fields, StructField("run_date", StringType()), StructField("run_id", StringType())])
-    return spark.read.schema(schema).parquet(path) if at.getFileSystem(conf).exists(at) else spark.createDataFrame([], schema)
-
-
 def file_digest(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256) of whole files."""
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))

@@ -1,17 +1,22 @@
-"""Writers. Paths may be in any store; Spark's committer publishes whole outputs only."""
+"""Writers. Paths may be in any store; Spark's committer publishes whole folders only, and single files are renamed into place once they are whole."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careerlake import shared
 from careerlake.operators.records import quarantined
 from careerlake.operators.telemetry import ranked
 
 
-def jobs_feed(jobs: DataFrame, path: str) -> None:
-    """JSON Lines under run_date=/run_id=; a rerun replaces its own run's folder only."""
-    jobs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "run_id").json(path)
+def run_folder(path: str, run_date: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/run_date={run_date}/run_id={run_id}"
+
+
+def jobs_feed(jobs: DataFrame, path: str, run_date: str, run_id: str) -> None:
+    """JSON Lines under run_date=/run_id=. The run's folder is written as a whole, so that a rerun leaves nothing of the run before, even if it has no rows."""
+    jobs.drop("run_date", "run_id").write.mode("overwrite").json(run_folder(path, run_date, run_id))
 
 
 def quarantine(validated: DataFrame, path: str) -> None:
@@ -19,29 +24,24 @@ def quarantine(validated: DataFrame, path: str) -> None:
     quarantined(validated).write.mode("overwrite").json(path)
 
 
-def registry(entries: DataFrame, path: str, run_date: str, run_id: str) -> None:
-    """A run's first sights, in a folder of its own that a rerun replaces."""
-    entries.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_date={run_date}/run_id={run_id}")
-
-
 def metrics(snapshot: DataFrame, path: str) -> None:
-    """One JSON object of all metrics, replaced at each dump."""
-    snapshot.select("metrics").coalesce(1).write.mode("overwrite").json(path)
+    """One JSON object of all metrics, replaced at each dump; a failure is logged and passed, and the last dump stays."""
+    shared.publish(snapshot.select("metrics"), f"{path.rstrip('/')}/metrics.json", must=False)
 
 
 def manifest(one_row: DataFrame, path: str) -> None:
-    one_row.coalesce(1).write.mode("overwrite").json(path)
+    shared.publish(one_row, f"{path.rstrip('/')}/run_manifest.json")
 
 
 def portal_summary(rows: DataFrame, path: str) -> None:
-    """Sorted, in one file: a row for each portal."""
-    ranked(rows).coalesce(1).write.mode("overwrite").json(path)
+    """Sorted, in one file: a row for each portal. A failure is logged and passed, and the file before stays."""
+    shared.publish(ranked(rows), f"{path.rstrip('/')}/portal_summary.jsonl", must=False)
 
 
 def audit(audited: DataFrame, report: str, recommended: str) -> None:
-    """The report as JSON and the recommended seeds as CSV (header url), both in input order."""
-    audited.orderBy("pos").coalesce(1).write.mode("overwrite").json(report)
-    audited.filter("recommended").orderBy("pos").select(F.col("normalized_url").alias("url")).coalesce(1).write.mode("overwrite").option("header", True).csv(recommended)
+    """The report as JSON and the recommended seeds as CSV (header url), each one file in input order."""
+    shared.publish(audited.orderBy("pos"), report)
+    shared.publish(audited.filter("recommended").orderBy("pos").select(F.col("normalized_url").alias("url")), recommended, "csv", header=True)
 
 
 def drop_partitions(spark: SparkSession, table: str, dates: list[str]) -> None:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from careerlake.plans import gate, lakehouse, named, workflow
 from careerlake.schemas import HISTORY
 from careerlake.sources import readers
+from careerlake.sources.registry_log import RegistryLog
 
 D1, D2, D3 = "2026-03-01", "2026-03-02", "2026-03-03"
 
@@ -82,7 +83,7 @@ def test_registry_and_gate_of_the_daily_run(spark, tmp_path):
         assert spark.table("registered.silver_jobs_curated").count() == 5
     with pytest.raises(gate.GateError, match="no_jobs"):
         workflow.run_daily(spark, pages, config, D2, "r2")
-    assert readers.registry(spark, f"{tmp_path}/registry").count() == 5
+    assert RegistryLog(spark, f"{tmp_path}/registry").entries().count() == 5
     late = workflow.Config(str(tmp_path), "registered", registry=True)
     assert workflow.run_daily(spark, pages, late, "2026-06-01", "r3") == {"curated": 5, "history": 5}  # expired by then
     last = readers.portal_summary_file(spark, f"{tmp_path}/ops/portal_summary/run_date=2026-06-01/run_id=r3").first()
