@@ -4,8 +4,14 @@ A page is cut into blocks: the text between starts and ends of block-level eleme
 labelled snippets, gives each block a cost for either label from its own text, its links and what its ancestors say against it; the
 costs become the capacities of edges from the source and to the sink. Blocks that follow each other, and consecutive blocks of one
 parent, are joined by edges whose capacity falls with their distance in the tree, and blocks within an article (or what else
-says that it is the main text) are joined to a node for it, which leans to the source. A minimum cut of this graph labels the
+says that it is the main text) are joined to a node for it. The node's pull to the source grows with its blocks, so that a long
+article is no easier to lose than a short one. A minimum cut of this graph labels the
 blocks: a heading or a short line without a sentence goes with what is around it, at the least total cost.
+
+What an element's class says against its text is judged by whole names: "sidebar" and "site-sidebar" are one, "has-sidebar" and "ad-free-content"
+aren't. A name of which only the last word is against it ("article-share-wrap") counts for less than the text of a paragraph. It is set aside
+where an article or main element lies inside, a clear one by a main element only; a form, where either lies inside; all for an element that holds most of the page's text and its
+first h1, or no h1 being there, unless it is of readers' comments.
 """
 
 from __future__ import annotations
@@ -34,8 +40,14 @@ AWAY = frozenset("nav footer aside form menu dialog search".split())
 CONTROLS = frozenset("button label select option optgroup legend fieldset summary".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert tablist toolbar".split())
-AWAY_WORDS = frozenset("nav navbar navigation menu submenu header masthead topbar footer foot sidebar side rail aside ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot sponsor sponsored sponsors promo promoted promotion promotions banner cookie cookies consent gdpr notice notices notification notifications alert alerts disclaimer comment comments commentlist disqus respond replies reply discussion social share sharing sharebar follow related recommended recommendations recirc outbrain taboola breadcrumb breadcrumbs newsletter newsletters subscribe subscription signup signin login register modal popup overlay widget widgets copyright copy legal pagination pager paging toc tags taglist toolbar skip search searchbox paywall".split())
+AWAY_WORDS = frozenset("nav navbar navigation menu submenu header masthead topbar footer foot sidebar side rail aside ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot sponsor sponsored sponsors promo promoted promotion promotions banner cookie cookies consent gdpr notice notices notification notifications alert alerts disclaimer comment comments commentlist disqus respond replies reply discussion social share sharing sharebar follow related recommended recommendations recirc outbrain taboola breadcrumb breadcrumbs newsletter newsletters subscribe subscription signup signin login register modal popup overlay widget widgets copyright legal pagination pager paging toc tags taglist toolbar skip search searchbox paywall popular trending".split())
 MAIN_WORDS = frozenset("article content contents post entry story main body text maincontent articlebody prose hentry".split())
+#: Words of a class name that say how a page is built, not what an element holds; and words that say neither.
+STATE_WORDS = frozenset("has is no not with without js layout template theme enabled disabled free hide show visible active type single mode support supports can body below above before after".split())
+PLAIN_WORDS = frozenset("wrap wrapper container box area inner outer block section list item items row col column group holder region site page global primary secondary left right top bottom mobile desktop posts articles stories news links link message inline fixed sticky large small new bar panel slot unit module cta button buttons icon icons law feed zone strip elementor wp the of and".split())
+READERS_WORDS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+HEAD_WORDS = frozenset("header masthead banner".split())
+TEXT_TAGS = frozenset("p pre blockquote li dd dt td figcaption h1 h2 h3 h4 h5 h6".split())
 NAME = re.compile(r"</?[A-Za-z][^\s/>]*")
 MARKS = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"""([^\s=>/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -48,40 +60,76 @@ def _raw_end(tag: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I)
 
 
+WEAK, STRONG = 1, 2
+
+
+def against(name: str, within: bool) -> tuple[int, bool]:
+    """What a class or id name says against an element's text, and whether it is of readers' words; within: the element is in the main text."""
+    parts = [w.lower() for w in WORD_PARTS.findall(name)]
+    if STATE_WORDS.intersection(parts) and len(parts) > 1:
+        return 0, False
+    core = [w for w in parts if w not in PLAIN_WORDS]
+    main = MAIN_WORDS.intersection(core)
+    away = AWAY_WORDS.intersection(core) - (HEAD_WORDS if within or main else frozenset())
+    if not away:
+        return 0, False
+    readers = not READERS_WORDS.isdisjoint(core)
+    if not main:
+        return (STRONG if away.issuperset(core) else WEAK), readers
+    return ((STRONG if readers else WEAK) if core[-1] in away else 0), readers
+
+
 class Element:
-    __slots__ = ("tag", "depth", "up", "main", "region", "away", "hidden", "control", "last")
+    __slots__ = ("tag", "depth", "up", "is_main", "main", "region", "mark", "by_name", "readers", "strong", "weak", "form", "hidden", "control", "last", "chars", "first")
 
     def __init__(self, tag: str, up: Element | None, attributes: str):
         self.tag, self.up = tag, up
         self.depth = up.depth + 1 if up else 0
         self.main = up.main if up else False
         self.region = up.region if up else None  # the innermost element that says it holds the main text
-        self.away = up.away if up else 0
         self.hidden = up.hidden if up else False
         self.control = (up.control if up else False) or tag in CONTROLS
         self.last = -1  # its last block
-        marks: set[str] = set()
+        self.chars, self.first = 0, False  # its text outside links, and whether the page's first h1 is in it
+        self.mark, self.by_name, self.readers = 0, False, False  # what it says against its text, and whether by its name alone
+        self.strong = self.weak = self.form = 0  # the marks that count against its blocks
+        names: list[str] = []
         role = ""
         if attributes and tag not in ("html", "body"):
             for name, a, b, c in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), a or b or c
                 if name in ("class", "id"):
-                    marks.update(w.lower() for w in WORD_PARTS.findall(value))
+                    names += value.split()
                 elif name == "role":
                     role = value.strip().lower()
                 elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                     self.hidden = True
         within = self.main
-        if tag in ("article", "main") or role in ("main", "article") or marks & MAIN_WORDS and tag in ("div", "section", "td"):
-            self.main = True
-            self.region = self
-        away = marks & AWAY_WORDS
-        if within:
-            away -= {"header", "masthead"}  # an article's own head
-        if tag in AWAY or role in AWAY_ROLES or tag == "header" and not within:
-            self.away += 1
-        if away and not (tag in ("article", "main")):
-            self.away += 1
+        named = [against(n, within) for n in names] if tag not in ("article", "main") else []
+        says_main = tag in ("div", "section", "td") and any(MAIN_WORDS.intersection(w.lower() for w in WORD_PARTS.findall(n)) and not against(n, within)[0] for n in names)
+        self.is_main = 2 if tag == "main" or role == "main" else 1 if tag == "article" or role == "article" or says_main else 0
+        if self.is_main:
+            self.main, self.region = True, self
+        self.mark = max((m for m, _ in named), default=0)
+        self.by_name, self.readers = self.mark > 0, any(r for _, r in named)
+        if tag == "header" and within or tag == "form":  # an article has a head of its own; some pages are one form
+            pass
+        elif tag == "header" or tag in AWAY or role in AWAY_ROLES:
+            self.mark, self.by_name = STRONG, False
+
+    def judge(self, chars: int, first: bool) -> None:
+        """Which marks count here: the parent's, its own; chars is the page's text, first whether it has an h1."""
+        up = self.up
+        self.strong, self.weak, self.form = (up.strong, up.weak, up.form) if up and self.is_main < 2 else (0, 0, 0)
+        if self.is_main:
+            self.weak = self.form = 0
+        most = 2 * self.chars >= chars > 0
+        alone = not first or self.mark == WEAK and self.main  # no title elsewhere, or the article's text is in it
+        if most and (self.by_name or self.tag == "form") and (self.first or alone and not self.readers):
+            return
+        self.strong += self.mark == STRONG
+        self.weak += self.mark == WEAK
+        self.form += self.tag == "form"
 
 
 class Block:
@@ -143,11 +191,13 @@ class Open:
 
     def __init__(self):
         self.here = Element("", None, "")
+        self.all = [self.here]  # in order, parents first
         self.of: dict[str, list[Element]] = {}
         self.scopes: list[int] = [-1]  # depths of open elements that end the search for some others
 
     def start(self, tag: str, attributes: str) -> None:
         self.here = Element(tag, self.here, attributes)
+        self.all.append(self.here)
         self.of.setdefault(tag, []).append(self.here)
         if tag in SCOPES:
             self.scopes.append(self.here.depth)
@@ -238,22 +288,33 @@ def blocks(page: str) -> list[Block]:
             at.end("li", ("menu",))
         at.start(tag, attributes)
     flush()
-    return [b for b in out if not _in_head(b)]
+    found = [b for b in out if not _in_head(b)]
+    for b in found:
+        b.at.chars += len(b.text) - b.linked
+    title = next((b.at for b in found if b.at.tag == "h1"), None)
+    e = title
+    while e is not None:
+        e.first, e = True, e.up
+    for e in reversed(at.all[1:]):
+        e.up.chars += e.chars
+    for e in at.all:
+        e.judge(at.all[0].chars, title is not None)
+    return found
 
 
 def _in_head(b: Block) -> bool:
     return b.at.tag == "head"
 
 
-FEATURES = ("bias", "away", "twice_away", "hidden", "control", "heading", "linked", "length", "sentence")
+FEATURES = ("bias", "strong", "weak", "hidden", "control", "heading", "linked", "length", "sentence")
 
 
 def describe(b: Block) -> list[float]:
     e, n = b.at, b.text.count(" ") + 1
     return [
         1.0,
-        float(e.away > 0),
-        float(e.away > 1),
+        float(e.strong + e.form > 0),
+        float(e.weak > 0),
         float(e.hidden),
         float(e.control),
         float(e.tag in HEADINGS),
@@ -264,6 +325,8 @@ def describe(b: Block) -> list[float]:
 
 
 PENALTY, ADJACENCY, PROXIMITY, REGION = 0.1, 1.5, 1.5, 2.5
+#: What a weak mark costs at most: less than a paragraph's text and an article's pull together.
+MOST_WEAK = 2.0
 PROSE = "The committee met again on Tuesday to weigh the second proposal, which had drawn letters from most of the region. No vote was taken."
 LINE = "Rain fell over the lower valley all night."
 SHORT = "Nothing more was said"
@@ -281,6 +344,9 @@ EXAMPLES = (
     (f"<section><h3>Method</h3><p>{PROSE}</p><div>{LINE}</div><div>{PROSE}</div></section><nav><p>{LINE}</p></nav><footer><p>{PROSE}</p></footer>", "1111" + "0" + "0"),
     (f"<article><h1>{SHORT}</h1><p>{SHORT}</p></article><aside>{LINE}</aside><div class=comments><article><p>{LINE}</p><p>{PROSE}</p></article></div>", "11" + "0" + "00"),
     (f"<article><h2>Wells</h2><p>{PROSE}</p><p style='display: none'>{PROSE}</p><p aria-hidden=true>{LINE}</p></article><div hidden>{PROSE}</div><section hidden><h2>{LINE}</h2><p>{PROSE}</p></section>", "11" + "00" + "0" + "00"),
+    (f"<article><h1>Steps</h1><ul><li>Dig a pit <button>Save</button></li><li>Fill it <button>Save</button></li></ul><p>{SHORT}</p><p>{PROSE}</p></article><div><button>More</button></div>", "1" + "10" + "10" + "11" + "0"),
+    (f"<div class='site has-sidebar'><div class=site-header><a href=/>River Times</a></div><h1>Mills</h1><p>{LINE}</p><p>{SHORT}</p><p>{PROSE}</p><div class=related-posts><p>{LINE}</p></div><div class='site-footer'><p>{PROSE}</p></div></div>", "0" + "1111" + "00"),
+    (f"<article><h1>Wind</h1><p>{PROSE}</p><p>{PROSE}</p><div class=article-share><p>Share</p><p>Print</p></div><div class=post-tags><p>Wind</p></div></article>", "111" + "00" + "0"),
     (f"<article><div class=share><a href=/f>Share</a></div><p>{PROSE}</p><aside><p>{PROSE}</p></aside><form><p>{PROSE}</p><label>Name</label></form></article>", "0" + "1" + "0" + "00"),
 )
 #: Labelled lines on their own: what pages say around their text without marking it, and text.
@@ -312,6 +378,7 @@ def weights() -> np.ndarray:
         h = (a * (p * (1 - p))[:, None]).T @ a + PENALTY * np.eye(len(w))
         step = np.linalg.solve(h, g)
         w -= step / max(1.0, np.abs(step).max() / 2)
+    w[FEATURES.index("weak")] = max(w[FEATURES.index("weak")], -MOST_WEAK)
     return w
 
 
@@ -326,23 +393,48 @@ def tree_distance(a: Element, b: Element) -> int:
     return n
 
 
+def _title_region(found: list[Block]) -> Element | None:
+    """On a page where nothing says that it holds the main text: the innermost element around the first h1 that holds more than it."""
+    if any(b.at.region is not None for b in found):
+        return None
+    e = next((b.at for b in found if b.at.tag == "h1" and not b.at.strong and not b.at.hidden), None)
+    own = e.chars if e is not None else 0
+    while e is not None and e.chars == own:
+        e = e.up
+    return e
+
+
+def _inside(e: Element, of: Element) -> bool:
+    while e.depth > of.depth:
+        e = e.up
+    return e is of
+
+
 def graph_of(found: list[Block], gain: list[float], adjacency: float = ADJACENCY, proximity: float = PROXIMITY, region: float = REGION) -> tuple[list[float], list[tuple[int, int, float]]]:
-    """Gains of the blocks and, after them, of the elements that say they hold the main text; edges between blocks and to those."""
+    """Gains of the blocks and, after them, of the elements that hold the main text; edges between blocks and to those.
+
+    Without such an element, paragraphs, lists and headings after the first h1, in what is around it, are joined to a node of their own.
+    """
     out, gain = [], list(gain)
     for i in range(1, len(found)):
         out.append((i - 1, i, adjacency / (1 + tree_distance(found[i - 1].at, found[i].at))))
     last: dict[int, int] = {}
     nodes: dict[int, int] = {}
+    around, begun = _title_region(found), False
     for i, b in enumerate(found):
         up = id(b.at.up)
         if up in last and last[up] != i - 1:
             out.append((last[up], i, proximity / (1 + tree_distance(found[last[up]].at, b.at))))
         last[up] = i
         e = b.at.region
-        if e is not None and not (b.at.away or b.at.hidden):  # what is marked against being text isn't drawn in
+        begun = begun or b.at.tag == "h1"
+        if e is None and around is not None and begun and b.at.tag in TEXT_TAGS and _inside(b.at, around):
+            e = around
+        if e is not None and not (b.at.strong or b.at.form or b.at.hidden or b.at.control):  # what is marked against being text isn't drawn in
             if id(e) not in nodes:
                 nodes[id(e)] = len(gain)
                 gain.append(2 * region)
+            gain[nodes[id(e)]] += region  # so that its blocks can't outvote it by their number
             out.append((nodes[id(e)], i, region))
     return gain, out
 
@@ -359,16 +451,18 @@ def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[
         near[a][b] = near[a].get(b, 0.0) + w
         near[b][a] = near[b].get(a, 0.0) + w
     pull, side = list(gain), [None] * n
+    tied = [sum(x.values()) for x in near]
     queue = deque(range(n))
     while queue:
         i = queue.popleft()
-        if side[i] is None and abs(pull[i]) >= sum(near[i].values()):
+        if side[i] is None and abs(pull[i]) >= tied[i] - 1e-12:
             side[i] = pull[i] > 0
             for j, w in near[i].items():
                 pull[j] += w if side[i] else -w
+                tied[j] -= w
                 del near[j][i]
                 queue.append(j)
-            near[i] = {}
+            near[i], tied[i] = {}, 0.0
     rest = [i for i in range(n) if side[i] is None]
     if not rest:
         return side
