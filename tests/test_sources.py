@@ -116,3 +116,69 @@ def test_snapshots_and_registry_policy(spark):
     assert dedupe.first_seen_or_pass(jobs, gone, F.lit(1), ["job_hash"], on_error="pass")[0].count() == 1
     with pytest.raises(Exception, match="(?i)path"):
         dedupe.first_seen_or_pass(jobs, gone, F.lit(1), ["job_hash"])
+
+
+def test_stream_of_first_sights_equals_daily_batches(spark, tmp_path):
+    """Over days with rows out of order, repeats, rows without a hash, and entries that expire exactly on a day."""
+    import random
+
+    from careerlake.operators import dedupe
+    from careerlake.streaming import registry
+
+    rng, day = random.Random(4), 86_400
+    schema = "job_hash string, run_id string, portal_key string, source_url string, run_date string, scraped_at string"
+    days = [[(rng.choice(["a", "b", "c", "d", None]), f"r{d}", "p", f"u{rng.randrange(99)}", f"2026-03-0{d + 1}", f"T{rng.randrange(1000):04d}") for _ in range(9)] for d in range(6)]
+    known = spark.createDataFrame([], "job_hash string, first_seen_run_id string, portal_key string, source_url string, first_seen_ts long, expires_at long")
+    for rows in days:
+        jobs = spark.createDataFrame(rows, schema)
+        now = F.unix_timestamp(F.lit(rows[0][4]), "yyyy-MM-dd")
+        entries = dedupe.first_seen(jobs, known, now, ["scraped_at", "source_url"], ttl_days=2)[1]
+        known = spark.createDataFrame([*known.collect(), *entries.collect()], known.schema)
+    want = sorted(map(tuple, known.collect()))
+    assert len({r[0] for r in want}) == 4 < len(want) and all(r[5] == r[4] + 2 * day for r in want)
+    for name, per_batch in (("each", 1), ("two", 2), ("all", 6)):  # however the days fall into batches
+        at = tmp_path / name
+        for i in range(0, 6, per_batch):
+            spark.createDataFrame([r for rows in days[i : i + per_batch] for r in rows], schema).coalesce(1).write.mode("append").parquet(str(at / "in"))
+            with registry.rocks_state(spark):
+                come = spark.readStream.schema(schema).parquet(str(at / "in"))
+                stream.run_available(registry.first_sights(come, F.to_timestamp("run_date"), ["scraped_at", "source_url"], ttl_days=2), str(at / "out"), str(at / "state")).awaitTermination(120)
+        assert sorted(map(tuple, spark.read.parquet(str(at / "out")).collect())) == want
+    assert spark.conf.get(registry.PROVIDER) != registry.ROCKS
+
+
+def test_metrics_of_a_stream(spark, tmp_path):
+    """Dumps at the start, by interval and at the end; what can't be written doesn't stop the stream."""
+    import time
+
+    from careerlake.operators import telemetry
+    from careerlake.streaming.metrics import MetricsDump
+
+    schema = "record_status string, validation_warnings array<string>"
+    path, now = f"{tmp_path}/metrics/metrics.json", [1000.0]
+    listen, bad = MetricsDump(spark, path, "jobs", 60, clock=lambda: now[0]), MetricsDump(spark, "none://x/y", "jobs")
+    for one in (listen, bad):
+        spark.streams.addListener(one)
+    try:
+        def arrive(n):
+            spark.createDataFrame([("valid", ["w"])] * n + [("quarantined", [])], schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+
+        arrive(3)
+        rows = telemetry.observed(spark.readStream.schema(schema).json(str(tmp_path / "in")))
+        q = rows.writeStream.format("noop").queryName("jobs").option("checkpointLocation", str(tmp_path / "state")).start()
+        wait = lambda test: next((True for _ in range(300) if test() or time.sleep(0.1)), False)
+        assert wait(lambda: listen.totals["batches_total"] >= 1) and listen.dumps == ["open"]
+        now[0] += 61
+        arrive(2)
+        assert wait(lambda: "periodic" in listen.dumps)
+        got = json.loads((tmp_path / "metrics" / "metrics.json").read_text())
+        assert got["_dump_reason"] == "periodic" and got["jobs_exported_total"] in (3, 5) and got["_summary"]["run_duration_seconds"] == 61
+        wait(lambda: listen.totals["rows_total"] == 7)
+        q.stop()
+        assert wait(lambda: "close" in listen.dumps)
+        got = json.loads((tmp_path / "metrics" / "metrics.json").read_text())
+        assert (got["jobs_exported_total"], got["jobs_quarantined_total"], got["validation_warning_total"], got["failed"], got["_dump_reason"]) == (5, 2, 5, 0, "close")
+        assert bad.dumps == [] and [p.name for p in (tmp_path / "metrics").iterdir() if not p.name.startswith(".")] == ["metrics.json"]
+    finally:
+        for one in (listen, bad):
+            spark.streams.removeListener(one)
