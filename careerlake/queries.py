@@ -293,11 +293,11 @@ def registry_of_overlapping_runs(spark, sf_dir):
 THIRDS = ("2024-01-11", "2024-01-21")
 
 
-@query(f"""with recursive {with_views("jobs")[5:]}, h as (select job_hash, run_id, portal_key, source_url, cast(epoch(cast(run_date as timestamp)) as bigint) as at, ts, event_id from jobs where event_id % 50 <> 0),
-  f as (select * from (select *, row_number() over (partition by job_hash, at order by ts, event_id) as place from h) where place = 1),
-  e as (select * exclude (n) from (select *, row_number() over (partition by job_hash order by at) as n from f) where n = 1
-    union all select * exclude (n) from (select f.*, row_number() over (partition by f.job_hash order by f.at) as n from e join f on f.job_hash = e.job_hash and f.at >= e.at + 5 * 86400) where n = 1)
-  select job_hash, run_id as first_seen_run_id, portal_key, source_url, at as first_seen_ts, at + 5 * 86400 as expires_at from e""")
+@query(f"""with recursive {with_views("jobs")[5:]}, h as (select job_hash, run_id, portal_key, source_url, cast(epoch(cast(run_date as timestamp)) as bigint) as seen, ts, event_id from jobs where event_id % 50 <> 0),
+  f as (select * from (select *, row_number() over (partition by job_hash, seen order by ts, event_id) as place from h) where place = 1),
+  e as (select * exclude (n) from (select *, row_number() over (partition by job_hash order by seen) as n from f) where n = 1
+    union all select * exclude (n) from (select f.*, row_number() over (partition by f.job_hash order by f.seen) as n from e join f on f.job_hash = e.job_hash and f.seen >= e.seen + 5 * 86400) where n = 1)
+  select job_hash, run_id as first_seen_run_id, portal_key, source_url, seen as first_seen_ts, seen + 5 * 86400 as expires_at from e""")
 def registry_stream(spark, sf_dir):
     """The registry as the state of a stream, which is run three times over what has come: entries expire five days after a first sight."""
     from careerlake import shared
