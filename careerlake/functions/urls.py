@@ -141,3 +141,57 @@ def job_id(c: Column) -> Column:
 
 def job_offset(c: Column) -> Column:
     return F.coalesce(query_parameter(c, "jobOffset").try_cast("int"), F.lit(0))
+
+
+# -- relative links --------------------------------------------------------------------------
+
+#: Schemes under which a reference is resolved; a link of another scheme than the page's stays as it is.
+HIERARCHICAL = ("", "http", "https", "ftp", "file", "sftp", "shttp", "ws", "wss")
+
+
+def _resolved(segments: Column) -> Column:
+    """Segments joined without . and ..: a fold in which .. takes back the one before. What ends in one of them ends in a slash."""
+    start, last = F.array().cast("array<string>"), F.element_at(segments, -1)
+    step = lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.array_append(kept, s))
+    folded = F.aggregate(segments, start, step)
+    path = F.array_join(F.when(last.isin(".", ".."), F.array_append(folded, F.lit(""))).otherwise(folded), "/")
+    return F.when(path == "", "/").otherwise(path)
+
+
+def _merged(folder: Column, path: Column) -> Column:
+    """The segments of a path in a page's folder, without empty ones inside."""
+    own = F.split(folder, "/")
+    all_ = F.concat(F.when(F.element_at(own, -1) != "", F.slice(own, F.lit(1), F.size(own) - 1)).otherwise(own), F.split(path, "/"))
+    return F.filter(all_, lambda s, i: (s != "") | (i == 0) | (i == F.size(all_) - 1))
+
+
+def join_url(base: Column, link: Column) -> Column:
+    """The link's target from the page's URL: what it leaves out is the page's, its path is relative to the page's folder, dots are resolved.
+
+    White space and control characters before the link, and line ends and tabs in it, don't count. A link of another scheme stays as it is.
+    A null base or link gives null.
+    """
+
+    def parts(u: Column) -> Column:
+        clean = F.regexp_replace(F.regexp_replace(u, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+        pieces = lambda x: F.struct(F.lower(F.regexp_extract(x, URL, 1)).alias("scheme"), F.regexp_extract(x, URL, 2).alias("authority"), F.regexp_extract(x, URL, 3).alias("path"), F.regexp_extract(x, r"(?s)^[^?#]*(\?[^#]+)?", 1).alias("query"), F.regexp_extract(x, r"(?s)^[^#]*(#.+)?", 1).alias("fragment"))
+        return _let(clean, pieces)
+
+    def target(b: Column, r: Column) -> Column:
+        same = (r.path == "") & (r.authority == "")
+        path = F.when(r.authority != "", r.path).when(same, b.path).when(r.path.startswith("/"), _resolved(F.split(r.path, "/"))).otherwise(_let(_merged(b.path, r.path), _resolved))
+        asked = F.when(same & (r.query == ""), b.query).otherwise(r.query)
+        own = F.when(r.authority != "", r.authority).otherwise(b.authority)
+
+        def whole(p: Column) -> Column:
+            rooted = F.when((p != "") & ~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p)
+            place = F.when(own != "", F.concat(F.lit("//"), own, rooted)).when((b.scheme != "") & ((p == "") | p.startswith("/")) | p.startswith("//"), F.concat(F.lit("//"), p)).otherwise(p)
+            return F.concat(F.when(b.scheme != "", F.concat(b.scheme, F.lit(":"))).otherwise(""), place, asked, r.fragment)
+
+        return _let(path, whole)
+
+    def either(u: Column, x: Column, b: Column, r: Column) -> Column:
+        other = (r.scheme != "") & (r.scheme != b.scheme) | ~b.scheme.isin(*HIERARCHICAL)
+        return F.when(x == "", u).when((u == "") | other, x).otherwise(target(b, r))
+
+    return _let(base, lambda u: _let(link, lambda x: _let(parts(u), lambda b: _let(parts(x), lambda r: either(u, x, b, r)))))

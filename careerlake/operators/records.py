@@ -21,10 +21,11 @@ def validate(jobs: DataFrame, run_date: str | None = None, lenient: bool = True)
     """Normalised columns with validation_errors, validation_warnings and record_status (quarantined if there are errors).
 
     A canonical URL of only spaces doesn't fall back to the source URL; it is missing. Posting dates are read leniently: what they leave
-    out comes from run_date, or else from the row's own; lenient=False leaves all but ISO and M/d/yyyy as they are, without Python.
+    out comes from run_date, or else from the row's own; that looks for texts that need a parser first, in a read of that column alone.
+    lenient=False leaves all but ISO and M/d/yyyy as they are.
     """
     own = F.col("run_date") if "run_date" in jobs.columns else F.lit(None)
-    day = (own if run_date is None else F.lit(run_date)) if lenient else None
+    jobs = dates.normalize_dates(jobs, "posted_date", own if run_date is None else run_date) if lenient else jobs.withColumn("posted_date", dates.normalize_date(F.col("posted_date")))
     canonical = text.strip(F.coalesce(_truthy(F.col("canonical_source_url")), F.col("source_url"), F.lit("")))
     out = jobs.withColumns(
         {
@@ -34,7 +35,6 @@ def validate(jobs: DataFrame, run_date: str | None = None, lenient: bool = True)
             **{c: text.blank_to_null(F.col(c)) for c in ("title", "description_text", "company", "apply_url")},
             "locations": text.clean_locations(F.col("locations")),
             "remote": text.normalize_remote(F.col("remote")),
-            "posted_date": dates.normalize_date(F.col("posted_date"), day),
         }
     )
     missing = lambda c: _truthy(F.col(c)).isNull()

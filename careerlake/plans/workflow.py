@@ -14,6 +14,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from careerlake import shared
 from careerlake.functions import urls
 from careerlake.operators import dedupe, frontier, records, seeds, telemetry
 from careerlake.operators.extraction import extract_jobs
@@ -113,7 +114,8 @@ def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: s
         pages = frontier.requested(frontier.crawl(seeds.requests(known_seeds), pages), pages)
     seen = _kinds(pages)
     details = seen.filter("request_kind = 'job_detail' and status < 400")
-    records.validate(extract_jobs(details, run_id, run_date, f"{run_date}T00:00:00+00:00"), run_date).write.mode("overwrite").parquet(f"{root}/checked/{own}")
+    extracted = shared.saved(extract_jobs(details, run_id, run_date, f"{run_date}T00:00:00+00:00"), "extracted")
+    records.validate(extracted, run_date).write.mode("overwrite").parquet(f"{root}/checked/{own}")
     checked = spark.read.schema(JOB).parquet(f"{root}/checked/{own}").withColumns({"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
     writers.quarantine(checked, f"{root}/quarantine/{own}")
     order = ["scraped_at", "canonical_source_url"]

@@ -210,7 +210,7 @@ def clean_locations(spark, sf_dir):
 @query(with_views("jobs") + f" select event_id, {DATE} as posted_date from jobs")
 def normalize_posted_date(spark, sf_dir):
     """The lenient parser included; the table's only text that isn't a date stays."""
-    return view(spark, sf_dir, "jobs").select("event_id", dates.normalize_date(F.col("posted_date"), "2026-03-26").alias("posted_date"))
+    return dates.normalize_dates(view(spark, sf_dir, "jobs").select("event_id", "posted_date"), "posted_date", "2026-03-26")
 
 
 @query(with_views("jobs") + f" select event_id, job_id, sha256(portal_key || '|' || coalesce(nullif(job_id, ''), u)) as identity from (select *, {canonical_sql('source_url')} as u from jobs)")
@@ -338,6 +338,17 @@ _url_query("job_offsets", "job_offset", urls.job_offset, f"coalesce(try_cast({_p
 _url_query("unwrap_job_hrefs", "target", urls.unwrap_job_href, f"coalesce(url_decode(url_decode(replace(coalesce({_param('shareUrl')}, {_param('url')}), '+', ' '))), url)")
 
 
+LINKED = """case page_id % 7 when 0 then 'a//./b' when 1 then concat('../x?y=', cast(page_id as {text})) when 2 then '/root/q/.././z' when 3 then concat('?jobOffset=', cast(page_id as {text})) when 4 then '#top' when 5 then 'mailto:a@b' else concat('//other.example.com/', cast(page_id as {text})) end"""
+_plain_url = "regexp_replace(url, '[?#].*$', '')"
+_folder = f"regexp_replace({_plain_url}, '[^/]*$', '')"
+
+
+@query(f"select page_id, case page_id % 7 when 0 then {_folder} || 'a/b' when 1 then case when regexp_matches({_folder}, '^https?://[^/]*/$') then {_folder} else regexp_replace({_folder}, '[^/]+/$', '') end || 'x?y=' || page_id when 2 then regexp_extract(url, '^https?://[^/?#]*') || '/root/z' when 3 then {_plain_url} || '?jobOffset=' || page_id when 4 then regexp_replace(url, '#.*$', '') || '#top' when 5 then 'mailto:a@b' else regexp_extract(url, '^https?:') || '//other.example.com/' || page_id end as target from pages")
+def joined_links(spark, sf_dir):
+    """Relative links of all kinds resolved against the pages' URLs by expressions."""
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("page_id", "url", LINKED.format(text="string") + " as link").select("page_id", urls.join_url(F.col("url"), F.col("link")).alias("target"))
+
+
 # -- seeds -----------------------------------------------------------------------------------
 
 
@@ -610,7 +621,7 @@ def extract_details(spark, sf_dir):
 def lenient_dates(spark, sf_dir):
     """Dates in words and other orders; what a text leaves out comes from the run's date; what isn't a date stays."""
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", "case event_id % 5 when 0 then date_format(ts, ' MM-dd-yy ') when 1 then date_format(ts, 'MMMM d, yyyy') when 2 then date_format(ts, 'd MMM yyyy') when 3 then date_format(ts, 'MMM yyyy') else ' soon ' end as posted_date")
-    return rows.select("event_id", dates.normalize_date(F.col("posted_date"), "2026-03-26").alias("posted_date"))
+    return dates.normalize_dates(rows, "posted_date", "2026-03-26")
 
 
 @query(ORACLE_SQL["portal_summary_rows"].join(["select portal_key, row_number() over (order by error_responses_total desc, job_detail_requests_total desc, portal_key) as place from (", ")"]))

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,54 @@ def test_hashes(spark):
     got = row.select(hashing.job_hash(F.col("portal_key"), F.col("job_id"), F.col("url")), hashing.content_hash()).first()
     assert got[0] == hashlib.sha256(b"p|u").hexdigest()
     assert got[1] == hashlib.sha256(b"T||a|b|||||||").hexdigest().upper()
+
+
+def test_dates_by_expressions_are_those_of_the_parser(spark):
+    """Random texts of many forms: what the expressions tell is what the parser reads, and all of it together is the same by any way."""
+    rng = random.Random(3)
+    months, weekdays = "Jan Feb March apr May June Jun July august Sept Sep. September October nov. Dec Sepp Mai".split(), "Mon Monday Tue, Thursday, Fri Sat. Tues".split()
+    n = lambda a, b: str(rng.randint(a, b))
+
+    def text():
+        d = n(0, 33).zfill(2) if rng.random() < 0.3 else n(1, 28)
+        o, y, m, sep = d + rng.choice(["", "", "th"]), rng.choice(["2026", "0050", "26", "99", "75", n(1000, 9999)]), rng.choice(months), rng.choice("-/. ")
+        t = rng.choice(["T10:00", "T25:00", " 10:00:00", "T09:30:00Z", "T09:30:00+02:00", " 10:00 PM", ""])
+        forms = [f"{y}-{n(0, 13).zfill(2)}-{d}{t}", f"{n(0, 40)}{sep}{d}{sep}{y}", f"{m} {o}, {y}", f"{o} {m} {y}", f"{o} of {m}, {y}", f"{d}-{m}-{y}", f"{m} {y}", f"{m} {o}", f"{o} {m}", f"{rng.choice(weekdays)} {m} {o}, {y}", f"{rng.choice(weekdays)} {o} {m} {y}", rng.choice(["soon", "ASAP", "today", "EST", "10 days ago", "Posted 3/9/2026", "Mon", "May", "2026", "10h", "über", "n/a"])]
+        return rng.choice(forms)
+
+    texts = sorted({text() for _ in range(3_000)})
+    rows = spark.createDataFrame([(t, d) for t in texts for d in ("2026-01-31", None, "x")], "t string, d string")
+    told = 0
+    for r in rows.withColumn("p", dates.plain_date(F.col("t"), F.col("d"))).collect():
+        if r.p is not None:
+            told += 1
+            assert (r.p or None) == dates.read_date(r.t, r.d), r
+    assert told > 2_000
+    some = spark.createDataFrame([(i, f" {t} " if i % 2 else t, ("2026-01-31", None)[i % 3 == 0], "x") for i, t in enumerate(texts)] + [(-1, None, "2026-01-31", "x"), (-2, "", "2026-01-31", "x"), (-3, "  ", None, "x")], "i int, t string, d string, text string")
+    want = {r.i: r.t for r in some.withColumn("t", dates.normalize_date(F.col("t"), F.col("d"))).collect()}
+    few, dates.MOST_LEFT = dates.MOST_LEFT, 10
+    try:
+        many = dates.normalize_dates(some, "t", F.col("d"))
+    finally:
+        dates.MOST_LEFT = few
+    joined = dates.normalize_dates(some, "t", F.col("d"))
+    assert {r.i: r.t for r in joined.collect()} == {r.i: r.t for r in many.collect()} == want
+    assert joined.columns == some.columns and want[-1] is None and want[-2] == "" == want[-3]
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (many, joined)]
+    assert ["ArrowEvalPython" in p for p in plans] == [True, False]
+
+
+def test_links_by_expressions_are_those_of_the_library(spark):
+    """Hard cases and random ones: dots, empty segments, other schemes, no host, queries and fragments with slashes."""
+    from urllib.parse import urljoin
+
+    rng = random.Random(5)
+    path = lambda rooted: ("/" if rooted else "") + "/".join(rng.choices(["a", "b", "..", ".", "", "c;x", "...", "%2e", " "], k=rng.randrange(6)))
+    asked = lambda: rng.choice(["", "", "?x=1", "?", "?a=/../b", "?x=1?y"]) + rng.choice(["", "", "#f", "#", "#a?b", "#/../x"])
+    base = lambda: rng.choice(["http://h.example.com", "HTTPS://U@H:80", "", "mailto:x", "file://", "//h"]) + path(rng.random() < 0.8) + asked()
+    link = lambda: rng.choice([path(False) + asked(), path(True) + asked(), asked(), "//other" + path(True) + asked(), rng.choice(["http:", "HTTP:", "javascript:void(0)", "tel:5"]) + path(False) + asked(), " \t" + path(False) + " ", "a\nb/" + path(False), "../../x/./y/.."])
+    hard = [("http://a/b/c/d;p?q", x) for x in "g:h g ./g g/ /g //g ?y g?y #s g#s g?y#s ;x g;x g;x?y#s . ./ .. ../ ../g ../.. ../../ ../../g ../../../g ../../../../g /./g /../g g. .g g.. ..g ./../g ./g/. g/./h g/../h g;x=1/./y g;x=1/../y g?y/./x g?y/../x g#s/./x g#s/../x http:g".split()] + [("http://a/b", ""), ("", "x"), ("http://a", "x")]
+    pairs = [*hard, *{(base(), link()) for _ in range(3_000)}]
+    got = spark.createDataFrame([*pairs, (None, "x"), ("http://a", None)], "b string, l string").select("b", "l", urls.join_url(F.col("b"), F.col("l")).alias("t")).collect()
+    for r in got:
+        assert r.t == (urljoin(r.b, r.l) if r.b is not None and r.l is not None else None), r
