@@ -5,9 +5,9 @@ marginals of source, language and topic in turn. A cell's factor is its raked we
 
 keep_mixed draws each document share * factor times (of shares that add up to 1): the whole part of that surely, once more with the
 rest as the probability. So cells that the targets want larger are repeated, and the expected tokens drawn are the wanted share
-and meet the targets, however large a factor is. mixing_report follows its SQL, which draws no document twice: with probability
-min(1, scale * factor), the scale such that the expected tokens kept are the wanted share; where cells are taken whole its
-sample doesn't meet the targets.
+and meet the targets, however large a factor is. mixing_report says how often each document is drawn so (draws, times), and besides what
+a sample without repeats would take: with probability min(1, scale * factor), the scale such that the expected tokens kept are the
+wanted share; where cells are taken whole that sample doesn't meet the targets.
 
 Targets follow from the observed marginals by an exponent (1: as they are, 0: all values alike), or are given by value. The
 first dimension may have any number of values. A round is one window by it over the table of cells, and a sum by the combinations
@@ -210,7 +210,8 @@ def _weighed(at: DataFrame, targets: dict | None, rounds: int, share: float, id_
 
 
 def mixing_report(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, share: float = SHARE, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """doc_id, source, lang, topic, tokens, probability (6 digits) and selected of every row.
+    """doc_id, source, lang, topic, tokens, draws (expected, 6 digits) and times (drawn, with repeats: the sample that meets the targets) of every row, and
+    probability (6 digits) and selected (drawn once at most).
 
     Null sources and languages are values of their own; null texts are empty and weigh one token. Rows with one id are drawn together,
     those with a null id too. Further columns are ignored; an empty table gives an empty result. Texts are read once: their topics
@@ -218,7 +219,7 @@ def mixing_report(docs: DataFrame, targets: dict | None = None, rounds: int = RO
     """
     at = _described(docs, text_col, source_col, lang_col).select(F.col("_row")[id_col].alias("doc_id"), F.col("_row")[source_col].alias("_source_as_is"), F.col("_row")[lang_col].alias("_lang_as_is"), "source", "lang", "topic", "tokens")
     done = _weighed(Saved(at, "described").df, targets, rounds, share, F.col("doc_id"), seed)
-    return done.select("doc_id", F.col("_source_as_is").alias("source"), F.col("_lang_as_is").alias("lang"), "topic", "tokens", F.round("probability", 6).alias("probability"), "selected")
+    return done.select("doc_id", F.col("_source_as_is").alias("source"), F.col("_lang_as_is").alias("lang"), "topic", "tokens", F.round("draws", 6).alias("draws"), "times", F.round("probability", 6).alias("probability"), "selected")
 
 
 def keep_mixed(docs: DataFrame, targets: dict | None = None, rounds: int = ROUNDS, share: float = SHARE, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
@@ -246,11 +247,11 @@ def oracle_sql(rounds: int = ROUNDS, share: float = SHARE, seed: str = SEED, tab
         for d in EXPONENTS:
             steps.append(f"r{n + 1} as (select * replace (raked * t_{d} / sum(raked) over (partition by {d}) as raked) from r{n})")
             n += 1
-    steps.append(f"f as (select source, lang, topic, w, raked / w as factor from r{n})")
+    steps.append(f"f as (select source, lang, topic, w, raked / w as factor, {share} * sum(w) over () / sum(raked) over () as budget from r{n})")
     order = "order by factor desc, source, lang, topic"
     steps.append(f"s as (select *, ({share} * sum(w) over () - coalesce(sum(w) over ({order} rows between unbounded preceding and 1 preceding), 0)) / sum(w * factor) over ({order} rows between current row and unbounded following) as scale from f)")
     steps.append(f"o as (select *, row_number() over ({order}) as place from s)")
     steps.append("q as (select *, min(case when scale * factor <= 1 then place end) over () as first_place from o)")
-    steps.append("p as (select source, lang, topic, least(1.0, coalesce(max(case when place = first_place then scale end) over () * factor, 1.0)) as probability from q)")
+    steps.append("p as (select source, lang, topic, max(budget) over () * factor as draws, least(1.0, coalesce(max(case when place = first_place then scale end) over () * factor, 1.0)) as probability from q)")
     draw = f"cast(('0x' || substr(md5('{seed}:' || coalesce(cast(doc_id as varchar), '')), 1, 13)) as bigint) / 4503599627370496.0"
-    return "with " + ", ".join(steps) + f" select k.doc_id, k.source, k.lang, k.topic, k.tokens, round(p.probability, 6) as probability, {draw} < p.probability as selected from k join p on k.source is not distinct from p.source and k.lang is not distinct from p.lang and k.topic = p.topic"
+    return "with " + ", ".join(steps) + f" select k.doc_id, k.source, k.lang, k.topic, k.tokens, round(p.draws, 6) as draws, cast(floor(p.draws) + case when {draw} < p.draws - floor(p.draws) then 1 else 0 end as int) as times, round(p.probability, 6) as probability, {draw} < p.probability as selected from k join p on k.source is not distinct from p.source and k.lang is not distinct from p.lang and k.topic = p.topic"
