@@ -524,13 +524,18 @@ def _pages(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("url", "html", none.alias("portal_key"), none.alias("input_seed_url"))
 
 
-@query()
+_no_text = ", ".join(f"cast(null as varchar) as {c}" for c in ("input_seed_url", "company", "posted_date", "remote", "employment_type", "career_area", "ref_number", "description_text", "apply_url"))
+_page_title = "regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&'), '^\\s+|\\s+$', '', 'g')"
+
+
+@query(f"""with p as (select *, {canonical_sql('url')} as c from pages where url is not null and html is not null), q as (select *, {portal_sql('c')} as portal, nullif(regexp_extract(c, '/([0-9]{{3,}})(?:[/?#]|$)', 1), '') as job from p)
+  select portal as portal_key, {_no_text}, cast(null as varchar[]) as locations, job as job_id, nullif({_page_title}, '') as title, url as raw_source_url, c as canonical_source_url, c as source_url, sha256(portal || '|' || coalesce(job, c)) as job_hash, 'r1' as run_id, '{SPLIT_DAY}' as run_date, '{SPLIT_DAY}T00:00:00+00:00' as scraped_at from q""")
 def extract_pages(spark, sf_dir):
     got = extraction.extract_jobs(_pages(spark, sf_dir), "r1", SPLIT_DAY, f"{SPLIT_DAY}T00:00:00+00:00")
     return got.drop("raw_fields")
 
 
-LISTING = "'<article class=\"article article--result\"><a href=\"/careers/JobDetail/A/' || {id} || '?x=1\">A</a> <a href=\"/careers//JobDetail/A/' || {id} || '\">again</a></article><a href=\"?jobOffset=10\">1</a><a href=\"?jobOffset=20\">2</a>'"
+LISTING = "'<article class=\"article article--result\"><a href=\"/careers/JobDetail/A/' || {id} || '?x=1\">A</a> <a href=\"/careers//JobDetail/A/' || {id} || '\">again</a><a href=\"mailto:jobs@example.com?subject=/JobDetail/' || {id} || '\">mail</a><a href=\"javascript:open(/JobDetail/)\">open</a></article><a href=\"?jobOffset=10\">1</a><a href=\"?jobOffset=20\">2</a>'"
 
 
 @query(f"with p as (select page_id, 'https://h' || page_id || '.example.com/careers/SearchJobs' as url from pages) select url, 'h' || page_id || '.example.com/careers' as portal_key, 'https://h' || page_id || '.example.com/careers/JobDetail/A/' || page_id as target, 'job_detail' as request_kind, 0 as place from p union all select url, 'h' || page_id || '.example.com/careers', url || '?jobOffset=20', 'pagination', 1 from p")
@@ -538,10 +543,24 @@ def listing_links(spark, sf_dir):
     return _listing(spark, sf_dir).drop("input_seed_url")
 
 
+@query(ORACLE_SQL["listing_links"])
+def listing_links_in_sql(spark, sf_dir):
+    """The same by the table function, joined laterally in SQL."""
+    from careerlake.functions import tables
+
+    tables.register(spark)
+    pages = _listing_pages(spark, sf_dir).select("url", "html")
+    rows = spark.sql("select p.url, l.* from {pages} p, lateral listing_links(p.url, p.html) l", pages=pages)
+    return rows.select("url", urls.portal_key(F.col("target")).alias("portal_key"), "target", "request_kind", "place")
+
+
 def _listing(spark, sf_dir):
+    return extraction.extract_links(_listing_pages(spark, sf_dir))
+
+
+def _listing_pages(spark, sf_dir):
     html = LISTING.format(id="cast(page_id as string)")
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("concat('https://h', cast(page_id as string), '.example.com/careers/SearchJobs') as url", f"{html} as html", "cast(null as string) as portal_key", "cast(null as string) as input_seed_url")
-    return extraction.extract_links(pages)
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr("concat('https://h', cast(page_id as string), '.example.com/careers/SearchJobs') as url", f"{html} || html as html", "cast(null as string) as portal_key", "cast(null as string) as input_seed_url")
 
 
 #: A site of the pages: each leads to one 30 further on, some to one 60 back, some nowhere; two job pages each, one of them shared by three.
@@ -592,10 +611,10 @@ def _detail_pages(spark, sf_dir):
       case when page_id % 7 < 5 then concat('<script type="application/ld+json">[{{"@type":"Thing"}},{{"@type":"JobPosting","hiringOrganization":{{"name":"Ad ', {mod(7)}, '"}},"datePosted":"2026-01-0', {mod(9)}, '","description":"<p>From <b>ad</b></p>"}}]</script>') else '' end,
       '</head><body>', case when page_id % 4 = 1 then concat('<h2 class="banner__text__title">Banner ', {n}, '</h2>') else '' end,
       case when page_id % 7 = 6 then '<div class="banner__text__subtitle">The Co</div>' else '' end,
-      {_field('Company :', f"concat('Field Co ', {mod(5)})")}, case when page_id % 2 = 0 then {_field('Company :', f"concat('Last Co ', {mod(5)})")} else '' end,
+      case when page_id % 5 <> 3 then {_field('Company :', f"concat('Field Co ', {mod(5)})")} else '' end, case when page_id % 2 = 0 and page_id % 5 <> 3 then {_field('Company :', f"concat('Last Co ', {mod(5)})")} else '' end,
       {_field('Location(s):', f"concat('City ', {mod(5)}, ', city ', {mod(4)}, '/Unknown')")}, {_field('REMOTE?', "'Yes'")},
       case when page_id % 5 > 0 then concat('<article class="article article--details"><h3 class="article__header__text__title">About</h3>', {_field('', f"concat('one <i>', {n}, '</i>')")}, {_field('', "'two'")}, '</article>') else '' end,
-      case when page_id % 3 = 0 then concat('<a href="/careers/ApplicationMethods?jobId=', {n}, '">Go</a>') when page_id % 3 = 1 then concat('<a href="/Login?jobId=', {n}, '">Apply now</a>') else '<a href="/Login?jobId=1">Log in</a>' end, '</body></html>')""".replace("Company :", "Company:")
+      case when page_id % 3 = 0 then concat('<a href="/careers/ApplicationMethods?jobId=', {n}, '">Go</a>') when page_id % 3 = 1 then concat('<a href="/Login?jobId=', {n}, '">Apply now</a>') else '<a href="/Login?jobId=1">Log in</a>' end, '</body></html>', html)""".replace("Company :", "Company:")
     return spark.read.parquet(f"{sf_dir}/pages.parquet").selectExpr(f"concat('https://H', {mod(30)}, '.Example.com/careers//JobDetail/Role/1', lpad({n}, 6, '0'), '?x=1#f') as url", f"{html} as html", "cast(null as string) as portal_key", "cast(null as string) as input_seed_url")
 
 
@@ -604,17 +623,19 @@ def _detail_pages(spark, sf_dir):
     f as (select *, case when page_id % 6 = 0 then '7' || n else '1' || padded end as job_id from p)
     select 'https://H' || page_id % 30 || '.Example.com/careers/JobDetail/Role/1' || padded as source_url, portal_key, job_id, sha256(portal_key || '|' || job_id) as job_hash,
       case page_id % 4 when 0 then 'Role ' || n || ' & more' when 1 then 'Banner ' || n else 'Tab ' || n end as title,
-      case when page_id % 2 = 0 then 'Last Co ' else 'Field Co ' end || page_id % 5 as company,
+      case when page_id % 5 <> 3 then case when page_id % 2 = 0 then 'Last Co ' else 'Field Co ' end || page_id % 5 when page_id % 7 < 5 then 'Ad ' || page_id % 7 when page_id % 7 = 6 then 'The Co' end as company,
       'City ' || page_id % 5 || case when page_id % 5 = page_id % 4 then '' else '|city ' || page_id % 4 end as locations,
       case when page_id % 7 < 5 then '2026-01-0' || page_id % 9 end as posted_date, 'Yes' as remote,
       case when page_id % 5 > 0 then 'one ' || n || chr(10) || 'two' else 'one' end as description_text,
-      case page_id % 3 when 0 then 'https://H' || page_id % 30 || '.Example.com/careers/ApplicationMethods?jobId=' || n when 1 then 'https://H' || page_id % 30 || '.Example.com/Login?jobId=' || n end as apply_url, 3 as raw_fields
+      case page_id % 3 when 0 then 'https://H' || page_id % 30 || '.Example.com/careers/ApplicationMethods?jobId=' || n when 1 then 'https://H' || page_id % 30 || '.Example.com/Login?jobId=' || n end as apply_url,
+      case when page_id % 5 <> 3 then 'company=' || case when page_id % 2 = 0 then 'Last Co ' else 'Field Co ' end || page_id % 5 || '|' else '' end || 'location(s)=City ' || page_id % 5 || ', city ' || page_id % 4 || '/Unknown|remote?=Yes' as raw_fields, 'r' as run_id, '2026-03-18' as run_date, 'now' as scraped_at
     from f""".replace("else 'one' end as description_text", "when page_id % 7 < 5 then 'From ad' end as description_text")
 )
 def extract_details(spark, sf_dir):
     """Title, fields, sections, links and identity of job pages, by all their fallbacks."""
     got = extraction.extract_jobs(_detail_pages(spark, sf_dir), "r", "2026-03-18", "now")
-    return got.select("source_url", "portal_key", "job_id", "job_hash", "title", "company", F.array_join("locations", "|").alias("locations"), "posted_date", "remote", "description_text", "apply_url", F.size("raw_fields").alias("raw_fields"))
+    raw = F.array_join(F.transform(F.array_sort(F.map_entries("raw_fields")), lambda e: F.concat(e.key, F.lit("="), e.value)), "|")
+    return got.select("source_url", "portal_key", "job_id", "job_hash", "title", "company", F.array_join("locations", "|").alias("locations"), "posted_date", "remote", "description_text", "apply_url", raw.alias("raw_fields"), "run_id", "run_date", "scraped_at")
 
 
 @query("select event_id, case event_id % 5 when 4 then 'soon' when 3 then strftime(ts, '%Y-%m') || '-26' else strftime(ts, '%Y-%m-%d') end as posted_date from events")

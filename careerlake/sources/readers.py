@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -48,8 +48,25 @@ def ops_portal_summary(spark: SparkSession, path: str, **dates: str) -> DataFram
     return jsonl(spark, path, PORTAL_SUMMARY, **dates)
 
 
+def lines_in_order(rows: DataFrame, name: str = "pos") -> DataFrame:
+    """rows read from text files, with their place over all files: files by name, each from its start, however they were cut into splits and dealt to tasks.
+
+    A task reads a split from its start, so a row's place is the count of rows in the splits before and its own number within its split. Only the
+    counts, one for each split, are put in order in one place. rows have the columns of line_place.
+    """
+    kept = shared.saved(rows, "lines")
+    splits = kept.groupBy("_file", "_start").agg(F.count("*").alias("_n"), F.min("_line").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return kept.join(splits.withColumn("_before", before).drop("_n"), ["_file", "_start"]).withColumn(name, F.col("_before") + F.col("_line") - F.col("_first")).drop("_file", "_start", "_line", "_first", "_before")
+
+
+def line_place() -> list[Column]:
+    """A row's file, where its split starts, and its number in its task: larger down a split."""
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line")]
+
+
 def seed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, raw_value): the url column of a seed CSV, stripped, in order, without empty and # rows.
+    """(pos, raw_value): the url column of a seed CSV, or of a folder of them by name, stripped, in order, without empty and # rows.
 
     The header is found whatever its case and spaces, after a byte-order mark too; ValueError if there is no such header.
     """
@@ -60,7 +77,8 @@ def seed_csv(spark: SparkSession, path: str) -> DataFrame:
     if "url" not in named:
         raise ValueError(f"seed CSV at {path} has no 'url' column")
     value = strip(F.coalesce(F.col(f"`{named['url']}`"), F.lit("")))
-    return rows.select(F.monotonically_increasing_id().alias("pos"), value.alias("raw_value")).filter("raw_value <> '' and not startswith(raw_value, '#')")
+    placed = lines_in_order(rows.select(value.alias("raw_value"), *line_place())).select("pos", "raw_value")
+    return placed.filter("raw_value <> '' and not startswith(raw_value, '#')")
 
 
 def file_digest(spark: SparkSession, path: str) -> DataFrame:
@@ -75,9 +93,9 @@ def last_row_wins(rows: DataFrame, key: str, place: str) -> DataFrame:
 
 
 def portal_summary_file(spark: SparkSession, path: str) -> DataFrame:
-    """A run's portal rows; of rows with one portal the last counts."""
-    rows = spark.read.schema(PORTAL_SUMMARY).json(path).withColumn("_place", F.monotonically_increasing_id())
-    return last_row_wins(rows, "portal_key", "_place").drop("_place")
+    """A run's portal rows; of rows with one portal the last line counts, in the last file by name."""
+    rows = spark.read.schema(PORTAL_SUMMARY).json(path)
+    return last_row_wins(rows.select("*", F.struct(*line_place()).alias("_place")), "portal_key", "_place").drop("_place")
 
 
 def latest_run(spark: SparkSession, root: str) -> str | None:

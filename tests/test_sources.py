@@ -182,3 +182,46 @@ def test_metrics_of_a_stream(spark, tmp_path):
     finally:
         for one in (listen, bad):
             spark.streams.removeListener(one)
+
+
+def test_lines_keep_their_order_over_files_and_splits(spark, tmp_path):
+    """Three files of different sizes, cut into many splits, which tasks get by size and not in order."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    want = []
+    for name, n in (("a.csv", 40), ("b.csv", 900), ("c.csv", 7)):
+        rows = [f"https://{name[0]}{k}.example.com/careers" for k in range(n)]
+        (tmp_path / name).write_text("\n".join(["url", *rows[: n // 2], "# note", "", *rows[n // 2 :]]) + "\n")
+        want += rows
+    (tmp_path / "runs").mkdir()
+    for name, n in (("x.jsonl", 300), ("y.jsonl", 5)):
+        (tmp_path / "runs" / name).write_text("".join(json.dumps({"portal_key": f"p{k % 4}", "requests_total": k, "run_date": name}) + "\n" for k in range(n)))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        got = readers.seed_csv(spark, str(tmp_path / "*.csv"))
+        last = {r.portal_key: (r.run_date, r.requests_total) for r in readers.portal_summary_file(spark, str(tmp_path / "runs")).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    rows = got.collect()
+    assert [r.raw_value for r in sorted(rows, key=lambda r: r.pos)] == want and len({r.pos for r in rows}) == len(rows)
+    assert max(r.pos for r in rows) == len(want) + 3 - 1  # places are without gaps but for rows that don't count
+    assert last == {"p0": ("y.jsonl", 4), "p1": ("y.jsonl", 1), "p2": ("y.jsonl", 2), "p3": ("y.jsonl", 3)}
+
+
+def test_table_functions_in_sql(spark):
+    from careerlake.functions import tables
+    from careerlake.operators import extraction
+
+    page = "<article class='article article--result'><a href='/careers/JobDetail/1?x'>1</a><a href='mailto:x?/JobDetail/2'>2</a></article><a href='?jobOffset=5'>next</a>"
+    field = "<div class='article__content__view__field'><div class='article__content__view__field__label'>{}</div><div class='article__content__view__field__value'>{}</div></div>"
+    rows = [(1, "https://a.com/careers/", page), (2, None, page), (3, "https://a.com/", None), (4, "https://b.com/JobDetail/5", field.format("City:", "Rome") + field.format("City:", "Oslo"))]
+    pages = spark.createDataFrame(rows, "id int, url string, html string")
+    tables.register(spark)
+    got = spark.sql("select p.id, l.* from {p} p, lateral listing_links(p.url, p.html) l order by id, place", p=pages).collect()
+    assert [tuple(r) for r in got] == [(1, "https://a.com/careers/JobDetail/1", "job_detail", 0), (1, "https://a.com/careers/?jobOffset=5", "pagination", 1)]
+    want = extraction.extract_links(pages.selectExpr("url", "html", "cast(null as string) as portal_key", "cast(null as string) as input_seed_url"))
+    assert sorted((r.target, r.request_kind, r.place) for r in want.collect()) == sorted(tuple(r)[1:] for r in got)
+    assert [tuple(r) for r in spark.sql("select p.id, l.* from {p} p, lateral job_labels(p.url, p.html) l", p=pages).collect()] == [(4, "city", "Oslo")]
+    for name, want_id in (("x.portallist.search", "7"), ("a.b.portallist.search", "555"), ("portallist.search", "555")):  # the whole name counts
+        assert extraction.job_fields("https://b.com/JobDetail/555", f"<meta name='{name}' content=' 7 '>")["job_id"] == want_id
