@@ -174,3 +174,24 @@ def test_quality_model_is_the_gaussian_difference(spark):
 def test_statistics_of_odd_texts():
     assert quality.statistics(b"") == quality.statistics(b" \n ") == [0.0] * len(quality.STATISTICS)
     assert np.isfinite(quality.statistics("é ".encode() * 100_000)).all() and np.isfinite(quality.statistics(b"|")).all()
+
+
+
+def test_default_penalty_lowers_false_alarms_on_a_name(spark):
+    """One listed name stands mostly in toxic texts, others of its kind in clean ones; on held-out texts that only mention it false alarms fall, and toxic ones are still caught."""
+    rng = np.random.default_rng(11)
+    words, insults, others = ["river", "stone", "light", "garden", "paper", "winter", "bridge", "market"], ["scum", "vermin", "filth"], ["christian", "jewish", "hindu"]
+    made = lambda *more: " ".join(rng.permutation([*rng.choice(words, 10), *more]))
+    train = []
+    for i in range(900):
+        bad = i % 3 == 0
+        name = "muslim" if rng.random() < (0.5 if bad else 0.02) else rng.choice(others) if rng.random() < 0.3 else None
+        train.append((made(*([rng.choice(insults)] if bad and (name != "muslim" or i % 2) else []), *([name] if name else [])), int(bad)))
+    d = docs(spark, [t for t, _ in train])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(train)], "doc_id long, toxic int")
+    plain, paired = (toxicity.fit(d, labels, F.lit(True), **how).scorer() for how in ({"pairing": 0.0}, {}))
+    neutral = [made("muslim") for _ in range(200)]
+    toxic = [made(rng.choice(insults), *(["muslim"] if i % 2 else [])) for i in range(200)]
+    alarms, caught = (lambda score: sum(score(t) >= 0.7 for t in neutral)), (lambda score: sum(score(t) >= 0.7 for t in toxic))
+    assert alarms(plain) > 150 and alarms(paired) < 20, (alarms(plain), alarms(paired))
+    assert caught(paired) > 190, caught(paired)
