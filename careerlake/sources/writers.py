@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +51,21 @@ def drop_partitions(spark: SparkSession, table: str, dates: list[str]) -> None:
     """Retention: removes whole run_date partitions of a table."""
     for d in dates:
         spark.sql(f"alter table {table} drop if exists partition (run_date = '{d}')")
+
+
+def expire(spark: SparkSession, path: str, run_date: str, days: int) -> list[str]:
+    """Retention of an artefact: removes its run_date= folders that are more than so many days older than run_date; returns their dates. Other names stay."""
+    first = (date.fromisoformat(run_date) - timedelta(days=days)).isoformat()
+    old = [d for n in shared.names(spark, path) if (d := n.removeprefix("run_date=")) != n and re.fullmatch(r"\d{4}-\d{2}-\d{2}", d) and d < first]
+    for d in old:
+        shared.remove(spark, f"{path.rstrip('/')}/run_date={d}")
+    return old
+
+
+#: Days that each artefact of a run is kept, by its folder under the root.
+KEPT = {"bronze/jobs": 365, "quarantine": 90, "checked": 30, "metrics": 90, "manifest": 365, "ops/portal_summary": 365}
+
+
+def expire_all(spark: SparkSession, root: str, run_date: str, kept: dict[str, int] | None = None) -> dict[str, list[str]]:
+    """Retention of all artefacts: the dates removed of each."""
+    return {name: expire(spark, f"{root.rstrip('/')}/{name}", run_date, days) for name, days in (KEPT if kept is None else kept).items()}

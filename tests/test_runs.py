@@ -240,3 +240,20 @@ def test_published_files_are_whole(spark, tmp_path):
 def test_seed_hosts(spark):
     got = seeds.allowed_hosts(spark.createDataFrame([(1, "https://B.example.com/x"), (2, "https://a.example.com")], "pos long, url string")).first()
     assert (got.input_seed_count, got.hosts) == (2, ["a.example.com", "b.example.com"])
+
+
+def test_retention(spark, tmp_path):
+    """Folders of an artefact and partitions of a table go by their dates alone."""
+    from careerlake.sources import writers
+
+    for d in (D1, D2, D3):
+        for name in ("bronze/jobs", "metrics"):
+            (tmp_path / name / f"run_date={d}" / "run_id=r").mkdir(parents=True)
+    (tmp_path / "metrics" / "other").mkdir()
+    assert writers.expire_all(spark, str(tmp_path), D3, {"bronze/jobs": 1, "metrics": 0, "none": 5}) == {"bronze/jobs": [D1], "metrics": [D1, D2], "none": []}
+    assert sorted(p.name for p in (tmp_path / "metrics").iterdir()) == ["other", f"run_date={D3}"]
+    spark.sql("create database if not exists kept")
+    lakehouse.create(snapshots(spark, ("A", D1, "a"), ("B", D2, "b"), ("C", D3, "c")), "kept.t")
+    dates = [r.run_date for r in lakehouse.expired_partitions(spark.table("kept.t"), D3, 0).collect()]
+    writers.drop_partitions(spark, "kept.t", dates)
+    assert [r.job_hash for r in spark.table("kept.t").collect()] == ["C"]
