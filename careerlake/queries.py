@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from careerlake.adapters import view, with_views
 from careerlake.functions import dates, text, urls
@@ -173,6 +174,17 @@ def run_date_calendar(spark, sf_dir):
     return lakehouse.run_calendar(view(spark, sf_dir, "snapshots"))
 
 
+@query(with_views("snapshots") + " select job_hash, title, run_date from snapshots where run_date between '2024-01-09' and '2024-01-12'")
+def projected_days(spark, sf_dir):
+    """Days of a feed by folders made from the dates; the feed is the snapshots, written by day."""
+    from careerlake import shared
+    from careerlake.sources import readers
+
+    at = shared.scratch(spark, "feed")
+    view(spark, sf_dir, "snapshots").select("job_hash", "title", "run_date").write.partitionBy("run_date").json(at)
+    return readers.projected(spark, at, StructType.fromDDL("job_hash string, title string"), "2024-01-09", "2024-01-12").select("job_hash", "title", "run_date")
+
+
 @query(with_views("snapshots") + " select distinct run_date from snapshots where cast(run_date as date) < date '2024-01-30' - 14")
 def retention_partitions(spark, sf_dir):
     return lakehouse.expired_partitions(view(spark, sf_dir, "snapshots"), "2024-01-30", 14)
@@ -290,6 +302,22 @@ def registry_of_overlapping_runs(spark, sf_dir):
     return log.entries().select("job_hash", "first_seen_run_id", "portal_key", "source_url")
 
 
+@query(with_views("jobs") + SEEN + REGISTRY_SQL.replace("cast(epoch(ts) as bigint)", "cast(floor(epoch(ts)) as bigint)") + " select job_hash, case when seen + 14 * 86400 > 1705276800 then 'old' else 'again' end as first_seen_run_id, case when seen + 14 * 86400 > 1705276800 then seen else seen + 86400 end as first_seen_ts, case when seen + 14 * 86400 > 1705276800 then seen + 14 * 86400 else seen + 15 * 86400 end as expires_at from old where seen + 15 * 86400 > 1705276800")
+def registry_compacted(spark, sf_dir):
+    """Two folders of entries, the later ones a day after the first, merged: expired ones go, of live ones the first sight stays."""
+    from careerlake import shared
+    from careerlake.sources.registry_log import RegistryLog, compact, vacuum
+
+    log, none = RegistryLog(spark, shared.scratch(spark, "registry")), F.lit(None).cast("string")
+    first = _registry(spark, sf_dir, 14).select("job_hash", F.lit("old").alias("first_seen_run_id"), none.alias("portal_key"), none.alias("source_url"), "first_seen_ts", "expires_at")
+    later = first.withColumns({"first_seen_run_id": F.lit("again"), "first_seen_ts": F.col("first_seen_ts") + 86_400, "expires_at": F.col("expires_at") + 86_400})
+    for version, (name, entries) in enumerate((("old", first), ("again", later)), 1):
+        log.commit(version, [*log.last()[1], log.write(entries, name)])
+    compact(log, F.lit(1_705_276_800))
+    vacuum(log)
+    return log.entries().select("job_hash", "first_seen_run_id", "first_seen_ts", "expires_at")
+
+
 THIRDS = ("2024-01-11", "2024-01-21")
 
 
@@ -372,6 +400,18 @@ def seed_load(spark, sf_dir):
     return seeds.load(view(spark, sf_dir, "seeds"))
 
 
+@query(with_views("seeds") + f" select row_number() over (order by pos) - 1 as pos, {strip('raw_value')} as raw_value from seeds")
+def seed_files_in_order(spark, sf_dir):
+    """The places of seeds over several files, by name: the list is written as files of a range of it each, and read again."""
+    from careerlake import shared
+    from careerlake.sources import readers
+
+    at = shared.scratch(spark, "seed-files")
+    ranges = view(spark, sf_dir, "seeds").repartitionByRange(5, "pos").sortWithinPartitions("pos")
+    ranges.select(F.col("raw_value").alias("URL")).write.option("header", True).csv(at)
+    return readers.seed_csv(spark, at)
+
+
 @query(with_views("seeds") + SEEDS_SQL + f" select pos, u as url, {portal_sql('u')} as portal_key, 'listing' as request_kind, u as input_seed_url from s2 where http and not internal")
 def seed_requests(spark, sf_dir):
     return seeds.requests(seeds.load(view(spark, sf_dir, "seeds")))
