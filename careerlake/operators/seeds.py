@@ -30,7 +30,8 @@ def classify(seeds: DataFrame, probes: DataFrame) -> DataFrame:
     at = seeds.select("pos", "raw_value", urls.normalize_seed_url(F.col("raw_value")).alias("normalized_url"))
     http = urls.has_http_scheme(F.col("normalized_url"))
     at = at.withColumn("early", F.when(~http, "invalid_url").when(urls.is_nonproduction(F.col("normalized_url")), "excluded_internal_or_staging"))
-    place = F.row_number().over(Window.partitionBy("normalized_url", F.col("early").isNull()).orderBy("pos"))
+    # seeds that are out already, blank ones say, are told apart by their place, so that they aren't one group
+    place = F.row_number().over(Window.partitionBy("normalized_url", F.when(F.col("early").isNotNull(), F.col("pos"))).orderBy("pos"))
     at = at.withColumn("early", F.coalesce("early", F.when(place > 1, "duplicate"))).withColumn("portal_key", F.when(http, urls.portal_key(F.col("normalized_url"))))
     p = probes.select(F.col("url").alias("normalized_url"), "dns_resolved", "http_status", "reason")
     joined = at.join(p, "normalized_url", "left")
