@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careerlake.operators.extraction import extract_links
+from careerlake.operators.telemetry import is_retried
 from careerlake.shared import saved
 
 #: How a request came about, in the order in which one of several ways to it counts: fewest steps, then the first seed.
@@ -46,8 +47,11 @@ def crawl(seeds: DataFrame, pages: DataFrame) -> DataFrame:
 
     seeds: pos, url, portal_key, input_seed_url; pages: url, html. Each URL is asked for once, by its shortest way, the first seed's of equal ones; its portal and
     seed are those of that way. A request whose page isn't stored is a leaf (captured is false): what a fetch would do next.
-    Pages without a URL count as not stored; pages without html lead nowhere. A URL that is stored several times leads to the job pages of all its copies.
+    Pages without a URL count as not stored, as do those whose status, if pages have one, asks for another try; pages without html lead nowhere.
+    A URL that is stored several times leads to the job pages of all its copies.
     """
+    if "status" in pages.columns:
+        pages = pages.filter(F.col("status").isNull() | ~is_retried(F.col("status")))
     none = F.lit(None).cast("string")
     found = extract_links(pages.select("url", "html", none.alias("portal_key"), none.alias("input_seed_url")))
     links = saved(found.select(request_key(F.col("url")).alias("url"), request_key(F.col("target")).alias("target"), "request_kind").distinct(), "links")

@@ -17,6 +17,9 @@ from careerlake.schemas import PORTAL_SUMMARY
 ITEM_FIELDS = {"title": "title", "description": "description_text", "apply_url": "apply_url", "posted_date": "posted_date", "company": "company"}
 RUN_FIELDS = ("title", "description_text", "locations", "posted_date", "apply_url", "company")
 KINDS = ("listing", "pagination", "job_detail")
+#: Statuses after which a request is asked again, and how often at most.
+RETRIED = (406, 408, 429, 500, 502, 503, 504, 522, 524)
+MOST_RETRIES = 4
 
 
 def status_bucket(status: Column) -> Column:
@@ -43,6 +46,17 @@ def response_buckets(responses: DataFrame) -> DataFrame:
     return responses.groupBy("kind", status_bucket(F.col("status")).alias("bucket")).agg(F.count("*").alias("responses"))
 
 
+def is_retried(status: Column) -> Column:
+    """Whether a response asks for another try; no status does too, as nothing came."""
+    return F.coalesce(status.isin(*RETRIED), F.lit(True))
+
+
+def retried_responses(responses: DataFrame) -> DataFrame:
+    """By portal: responses, those that ask for another try, and the share of them."""
+    again = F.count_if(is_retried(F.col("status")))
+    return responses.groupBy("portal_key").agg(F.count("*").alias("responses_total"), again.alias("retried_total"), F.bround(again / F.count("*"), 6).alias("retried_rate"))
+
+
 def portal_rows(requests: DataFrame, responses: DataFrame, items: DataFrame, drops: DataFrame) -> DataFrame:
     """One row for each portal in any of the facts; counts default to 0, rates without a base to null (duplicates: 0)."""
     counters = [f.name for f in PORTAL_SUMMARY if f.dataType.simpleString() == "bigint"] + [f"_{n}" for n in ITEM_FIELDS]

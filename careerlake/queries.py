@@ -476,6 +476,11 @@ def status_buckets(spark, sf_dir):
     return telemetry.response_buckets(view(spark, sf_dir, "requests"))
 
 
+@query(with_views("requests") + f" select portal_key, count(*) as responses_total, count(*) filter (status is null or status in {telemetry.RETRIED}) as retried_total, round_even(count(*) filter (status is null or status in {telemetry.RETRIED}) / count(*), 6) as retried_rate from requests group by portal_key")
+def retried_responses(spark, sf_dir):
+    return telemetry.retried_responses(view(spark, sf_dir, "requests"))
+
+
 @query(with_views("requests") + " select portal_key, kind, count(*) as requests from requests group by 1, 2 union all select '*', kind, count(*) from requests group by kind")
 def request_counts(spark, sf_dir):
     return telemetry.request_counts(view(spark, sf_dir, "requests"))

@@ -62,6 +62,14 @@ def test_crawl_against_page_by_page(spark, seed):
     assert all(r.captured == (k in stored) and (r.request_kind == "listing") == (k in depth and depth[k][0] == 0) for k, r in rows.items())
 
 
+def test_pages_to_be_asked_again_are_not_stored(spark):
+    asked = spark.createDataFrame([(1, "https://x/", "p", "s")], "pos long, url string, portal_key string, input_seed_url string")
+    for status, captured in ((200, True), (None, True), (404, True), (503, False), (429, False)):
+        pages = spark.createDataFrame([("https://x/", "<a class='paginationNextLink' href='/2'>n</a>", status)], "url string, html string, status int")
+        got = {r.url: r.captured for r in frontier.crawl(asked, pages).collect()}
+        assert got == ({"https://x/": True, "https://x/2": False} if captured else {"https://x/": False})
+
+
 def test_crawl_of_nothing(spark):
     none = spark.createDataFrame([], "pos long, url string, portal_key string, input_seed_url string")
     assert frontier.crawl(none, spark.createDataFrame([], "url string, html string")).count() == 0
