@@ -125,7 +125,7 @@ def run_daily(spark: SparkSession, pages: DataFrame, config: Config, run_date: s
         now = F.unix_timestamp(F.lit(run_date), "yyyy-MM-dd")
         try:
             kept = registry_log.put(registry_log.RegistryLog(spark, f"{root}/registry"), valid, run_id, now, order)
-        except (PySparkException, Py4JJavaError, OSError) as e:
+        except (PySparkException, Py4JJavaError, OSError, ValueError, registry_log.ConflictError) as e:
             if config.registry_errors == "fail":
                 raise
             log.error("the registry can't be used, all jobs pass: %s", str(e).splitlines()[0])

@@ -147,6 +147,16 @@ def test_a_rerun_replaces_its_feed(spark, tmp_path):
     assert dumped["_dump_reason"] == "close" and dumped["duplicates/in_run"] == "0"
 
 
+def test_unreadable_registry(spark, tmp_path):
+    """The policy decides: the run fails, or all of its jobs pass."""
+    spark.sql("create database if not exists unreadable")
+    shared.create_text(spark, f"{tmp_path}/registry/_log/{1:020d}.json", "{broken")
+    pages = spark.createDataFrame([(*page(7101), None, "seed"), (*page(7102), None, "seed")], PAGE)
+    with pytest.raises(ValueError, match="Expecting"):
+        workflow.run_daily(spark, pages, workflow.Config(str(tmp_path), "unreadable", registry=True), D1, "r1")
+    assert workflow.run_daily(spark, pages, workflow.Config(str(tmp_path), "unreadable", registry=True, registry_errors="pass"), D1, "r1")["curated"] == 2
+
+
 def test_daily_run_from_seeds(spark, tmp_path):
     """Only pages that the seeds lead to are taken, each with its request's kind, portal and seed."""
     spark.sql("create database if not exists seeded")
