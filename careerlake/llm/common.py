@@ -78,14 +78,14 @@ class Saved:
         remove(self.spark, self.path)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with a function made once for each task: make() loads what the task needs."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int | None = None) -> DataFrame:
+    """mapInArrow with a function made once for each task: make() loads what the task needs. rows: it gets slices of so many rows at most, not whole batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for b in batches:
-            if b.num_rows:
-                yield f(b)
+            for at in range(0, b.num_rows, rows or b.num_rows or 1):
+                yield f(b.slice(at, rows))
 
     return df.mapInArrow(run, schema)
 

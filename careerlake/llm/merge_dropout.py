@@ -18,8 +18,9 @@ import heapq
 import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import count, repeat
 from operator import add
 
 import numpy as np
@@ -32,15 +33,13 @@ from careerlake.llm.common import map_arrow, texts
 MARK = "▁"
 WORDS = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 NEVER, END = 1 << 60, 1 << 59  # no rank or unknown turns; after the last turn
-KEPT = 600_000  # nodes of a generation
+ROWS = 64  # texts encoded at once: what a task holds of them and their ids doesn't grow with its Arrow batches
+KEPT = 400_000  # words, parts and ways of a generation
+DEPTH, WIDTH = 5, 7  # a way that is kept has so many skips at most, and bits for each
 MADE: dict[tuple, Segmenter] = {}  # the last one of this Python worker, with what it has seen: its next task goes on with that
 ASCII_MARKS = [chr(c) for c in range(128) if not chr(c).isalnum()]
 
 
-def size(node: list) -> int:
-    return 1 + sum(map(size, node[2].values())) if node[2] else 1
-
-
 class Segmenter:
     def __init__(self, model: str, rate: float = 0.1, seed: int = 0):
         import sentencepiece
@@ -79,6 +78,8 @@ class Segmenter:
         self.seed = seed
         # words (after one mark; as they are) and their parts between cuts, in two generations: frequent ones move on when the older one goes
         self.begin, self.later, self.old_begin, self.old_later, self.made = {}, {}, {}, {}, 0
+        # ids by the number of a word or part and which of its turns are skipped (way()), in two generations too
+        self.ways, self.old_ways, self.numbers = {}, {}, count(1)
 
     def skipped(self, key: int, turns: int) -> list[int]:
         """Which of so many turns are skipped in the text of this key: 16 bits a turn, of a counter mixed with the seed and the key."""
@@ -94,21 +95,22 @@ class Segmenter:
         return found
 
     def node(self, word: str, mark: str) -> list:
-        """What is known of a word: turns if nothing more is skipped, ids then, nodes by the next turn skipped, parts between cuts."""
+        """What is known of a word: turns if nothing is skipped, ids then, its number, parts between cuts."""
         table, old = (self.begin, self.old_begin) if mark else (self.later, self.old_later)
-        found = old.pop(word, None)
-        if found is None:
-            found = [NEVER, b"", None, None]
-            if (parts := self.parts(mark + word)) is not None:
-                found[3] = parts
-        self.made += size(found)
+        found = old.pop(word, None) or [NEVER, b"", next(self.numbers) << DEPTH * WIDTH, self.parts(mark + word)]
+        self.made += 1
         if len(word) <= 48:
             if self.made >= KEPT:
-                self.old_begin, self.old_later, self.begin, self.later, self.made = self.begin, self.later, {}, {}, 0
+                self.age()
                 table = self.begin if mark else self.later
             table[word] = found
         return found
 
+    def age(self) -> None:
+        """A new generation begins; the older one goes."""
+        self.old_begin, self.old_later, self.old_ways = self.begin, self.later, self.ways
+        self.begin, self.later, self.ways, self.made = {}, {}, {}, 0
+
     def parts(self, word: str) -> list[tuple[str, str]] | None:
         """(mark, rest) of a word's parts, if it has a cut."""
         if not self.cut or not (found := self.cut.search(word)) or found.end() >= len(word):
@@ -171,31 +173,39 @@ class Segmenter:
         return out, turn
 
     def walk(self, root: list, mark: str, rest: str, turn: int, at: int, skip: list[int], put) -> tuple[int, int]:
-        """Puts the ids of one part; the turn and the place in skip after it. Follows the nodes of what is skipped, or encodes the part."""
-        node, start, first = root, turn, at
-        while True:
-            gap = skip[at] - turn
-            if node[0] <= gap:
-                put(node[1])
-                return turn + node[0], at
-            found = node[2] and node[2].get(gap)
-            if not found:
-                break
-            node, turn, at = found, skip[at] + 1, at + 1
-        end, ids = self.part(mark + rest, skip, first, start)
-        put(ids)
-        node, turn, at = root, start, first
-        while skip[at] < end:
-            gap = skip[at] - turn
-            if node[2] is None:
-                node[2] = {}
-            found = node[2].get(gap)
-            if found is None:
-                found = node[2][gap] = [NEVER, b"", None, None]
+        """Puts the ids of one part; the turn and the place in skip after it. Looks up the way that its skips make, or encodes the part."""
+        way, n, i, last, bits = root[2], len(mark) + len(rest), at, turn, 0
+        # a part has n - 1 merges at most, so that many turns besides those skipped; so many as it has pieces less
+        while bits < DEPTH * WIDTH and skip[i] < turn + n + i - at and skip[i] - last < (1 << WIDTH) - 1:
+            way |= skip[i] - last + 1 << bits
+            last, i, bits = skip[i] + 1, i + 1, bits + WIDTH
+            ids = self.ways.get(way)
+            if ids is None:
+                ids = self.old_ways.pop(way, None)
+                if ids is None:
+                    continue
+                self.ways[way] = ids
                 self.made += 1
-            node, turn, at = found, skip[at] + 1, at + 1
-        node[0], node[1] = end - turn, ids
-        return end, at
+            end = turn + n - (len(ids) >> 2) + i - at
+            if end <= skip[i]:
+                put(ids)
+                return end, i
+        end, ids = self.part(mark + rest, skip, at, turn)
+        put(ids)
+        way, i, last, bits = root[2], at, turn, 0
+        while skip[i] < end:
+            if bits == DEPTH * WIDTH or skip[i] - last >= (1 << WIDTH) - 1:
+                return end, bisect_left(skip, end, i)
+            way |= skip[i] - last + 1 << bits
+            last, i, bits = skip[i] + 1, i + 1, bits + WIDTH
+        if i == at:
+            root[0], root[1] = end - turn, ids
+        elif n <= 49 and end == turn + n - (len(ids) >> 2) + i - at:  # not so if some are bytes of one character
+            self.ways[way] = ids
+            self.made += 1
+            if self.made >= KEPT:
+                self.age()
+        return end, i
 
     def segment(self, word: str, key: int = 0) -> bytes:
         """The ids of one word, its marks included, as 4-byte numbers, as the first of a text of this key."""
@@ -321,7 +331,7 @@ def segmentations(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0,
 
         return run
 
-    return map_arrow(texts(docs, id_col, text_col), make, f"doc_id {kind}, n_chars long, ids array<int>, n_pieces long, digest long, lossless boolean").withColumnRenamed("doc_id", id_col)
+    return map_arrow(texts(docs, id_col, text_col), make, f"doc_id {kind}, n_chars long, ids array<int>, n_pieces long, digest long, lossless boolean", ROWS).withColumnRenamed("doc_id", id_col)
 
 
 def decoded(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:

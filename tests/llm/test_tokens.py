@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 import sentencepiece
@@ -196,3 +197,26 @@ def test_dropout_against_a_plain_agenda(rate):
         assert got == plain_agenda(s, text, key)
         seen.add(tuple(s.encode("internationalization", key).tolist()))
     assert (len(seen) > 5) == (0 < rate < 1)
+
+
+def test_tasks_hold_slices_and_a_bounded_store(spark, monkeypatch):
+    import careerlake.llm.merge_dropout as m
+    from careerlake.llm.common import map_arrow
+
+    def make():
+        return lambda b: pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    df = spark.range(200).coalesce(1)
+    assert [r.n for r in map_arrow(df, make, "n long", m.ROWS).collect()] == [64, 64, 64, 8] and [r.n for r in map_arrow(df, make, "n long").collect()] == [200]
+    monkeypatch.setattr(m, "KEPT", 500)
+    rng, s, plain = random.Random(8), Segmenter(PIECES, 0.2, seed=3), Segmenter(PIECES, 0.2, seed=3)
+    for k in range(60):
+        t = " ".join("".join(rng.choices("abehinorst,", k=rng.randint(3, 60))) for _ in range(40)) + " the committee, again"
+        plain.begin, plain.later, plain.old_begin, plain.old_later = {}, {}, {}, {}
+        assert s.encode(t, k).tolist() == plain.encode(t, k).tolist()
+        kept = [s.begin, s.later, s.ways, s.old_begin, s.old_later, s.old_ways]
+        assert sum(map(len, kept[:3])) <= m.KEPT + 200 and sum(map(len, kept)) <= 2 * (m.KEPT + 200)
+    assert s.ways and s.old_ways
+    for k in range(300):  # of words that are known, new ways
+        s.encode("anotherhabitation nonhabitation thenorthernhabitations " * 10, k)
+        assert len(s.ways) <= m.KEPT
