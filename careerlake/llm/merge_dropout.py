@@ -8,7 +8,9 @@ the white-space mark itself where a text holds it, so decoding gives back every
 
 No piece holds the mark after another character, so merges never cross the start of a word and words are encoded apart. Nor
 does any cross a place where no piece has a letter followed by the character that comes next (a full stop, say): words are cut there
-too. What a part becomes follows from which of its turns are skipped, so parts are looked up by that and only encoded where it is new.
+too. Texts of a batch that are about as long take their turns together, each turn as a few array operations over all of them
+(Together). What remains (texts without company, very long parts, marks in the text) is encoded text by text: what a part becomes
+follows from which of its turns are skipped, so parts are looked up by that and only encoded where it is new.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
@@ -33,13 +36,27 @@ from careerlake.llm.common import map_arrow, texts
 MARK = "▁"
 WORDS = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 NEVER, END = 1 << 60, 1 << 59  # no rank or unknown turns; after the last turn
-ROWS = 64  # texts encoded at once: what a task holds of them and their ids doesn't grow with its Arrow batches
+ROWS = 64  # texts in a batch that a task puts out
+SPAN, GROUP = 32_000_000, 4_000_000  # bytes of texts that a task takes of an Arrow batch at once, and characters that take their turns together
+LEAST = 40  # so many texts pay for turns taken together
+PLACE = 6  # bits for the place in a part, where turns are taken together
+PART = 1 << PLACE
+DRAWS = 64  # turns for which draws are made at once, a multiple of 4
+NONE = (1 << 31) - 1  # no candidate
 KEPT = 400_000  # words, parts and ways of a generation
 DEPTH, WIDTH = 5, 7  # a way that is kept has so many skips at most, and bits for each
 MADE: dict[tuple, Segmenter] = {}  # the last one of this Python worker, with what it has seen: its next task goes on with that
+LETTER = re.compile(r"[^\W\d_]")
 ASCII_MARKS = [chr(c) for c in range(128) if not chr(c).isalnum()]
 
 
+def mixed(z: np.ndarray) -> np.ndarray:
+    """64 bits each, which look random, from counters."""
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
 class Segmenter:
     def __init__(self, model: str, rate: float = 0.1, seed: int = 0):
         import sentencepiece
@@ -76,6 +93,7 @@ class Segmenter:
         strange = "ﬁ Å e\u0301"
         self.library = sp.encode if self.prefix and sp.decode(sp.encode(strange)) == strange else None  # only if it changes no character
         self.seed = seed
+        self.follow, self.inside, self._together = follow, inside, None
         # words (after one mark; as they are) and their parts between cuts, in two generations: frequent ones move on when the older one goes
         self.begin, self.later, self.old_begin, self.old_later, self.made = {}, {}, {}, {}, 0
         # ids by the number of a word or part and which of its turns are skipped (way()), in two generations too
@@ -87,10 +105,7 @@ class Segmenter:
             return [END]
         start = xxhash.xxh64_intdigest(b"%d:%d" % (self.seed, key))
         z = np.arange(1, (turns + 3 >> 2) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(start)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z ^= z >> np.uint64(31)
-        found = np.flatnonzero(z.astype("<u8", copy=False).view("<u2")[:turns] < self.limit).tolist()
+        found = np.flatnonzero(mixed(z).astype("<u8", copy=False).view("<u2")[:turns] < self.limit).tolist()
         found.append(END)
         return found
 
@@ -296,11 +311,235 @@ class Segmenter:
             units += WORDS.findall((MARK if self.prefix and not k else "") + part.replace(" ", MARK))
         return np.frombuffer(self.run(units, "", key, len(text) + 64), "<i4")
 
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        """encode() of each text. Those about as long are encoded together."""
+        out: list = [None] * len(texts)
+        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        if self._together is None:
+            self._together = Together(self)
+        while order:
+            n = chars = 0
+            while n < len(order) and (not n or chars + len(texts[order[n]]) < GROUP):
+                chars += len(texts[order[n]]) + 1
+                n += 1
+            group, order = order[:n], order[n:]
+            for i, ids in zip(group, self._together.encode([texts[i] for i in group], [keys[i] for i in group]), strict=True):
+                out[i] = ids
+        return out
+
+    def encode_rest(self, rest: str, key: int, turn: int) -> np.ndarray:
+        """The ids of the last parts of a text, in which marks stand for its spaces, from this turn on."""
+        units, turns = WORDS.findall(rest), turn + len(rest) + 64
+        while True:
+            skip = self.skipped(key, turns)
+            out, used = self._run(units, "", [x - turn for x in skip[bisect_left(skip, turn) :]])
+            if turn + used <= turns or not self.limit:
+                return np.frombuffer(b"".join(out), "<i4")
+            turns = max(2 * turns, turn + used)
+
     def decode(self, ids) -> str:
         text = b"".join(map(self.spell.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+class Together:
+    """Many texts at once: every text takes its n-th turn in the n-th step, so all have the same turn and each step is done in arrays.
+
+    Symbols stand where their first character does; a column of the agenda has the candidates of one text's present part.
+    """
+
+    def __init__(self, s: Segmenter):
+        self.s, n = s, len(s.spell)
+        self.unknown = n
+        self.char = np.full(0x110000, n, np.int32)
+        self.kind = np.zeros(0x110000, np.uint8)  # 1: a letter, 2: no letter is followed by it in a piece, 4: in no piece but its own; 8: looked at
+        for p, i in s.ids.items():
+            if len(p) == 1:
+                self.char[ord(p)] = i
+        for c in ["\n", *ASCII_MARKS]:
+            self.kind[ord(c)] = 2 * (c == "\n" or c not in s.follow) | 4 * (c == "\n" or c not in s.inside) | 8
+        self.byte_id = np.array([s.bytes[b] for b in range(256)], np.int32)
+        self.by_rank = np.zeros(max(s.rank.values()) + 1, np.int32)
+        rows: dict[int, list[tuple[int, int]]] = {}
+        made: dict[int, int] = {}
+        for p, i in s.ids.items():
+            for at in range(1, len(p)):
+                if (a := s.ids.get(p[:at])) is not None and (b := s.ids.get(p[at:])) is not None:
+                    rows.setdefault(a, []).append((b, s.rank[p]))
+                    made[i] = s.rank[p]
+        for i, r in made.items():
+            self.by_rank[r] = i
+        # a rank tells the piece, but for runs of marks
+        plain = [r for i, r in made.items() if s.spell[i].strip(b" ")]
+        self.able = s.prefix and s.cut is not None and len(set(plain)) == len(plain) and max(made.values(), default=0) < 1 << 24
+        self._pairs(rows)
+
+    def _pairs(self, rows: dict[int, list[tuple[int, int]]]) -> None:
+        """Ranks by pair: the row of each left piece lies at an offset of its own where it meets no other row's entries."""
+        size = 1 << max(10, 2 + sum(map(len, rows.values())).bit_length())
+        self.table, self.offset = np.full(size + self.unknown + 1, -1, np.int64), np.zeros(self.unknown + 1, np.int64)
+        rng = np.random.default_rng(0)
+        for a, row in sorted(rows.items(), key=lambda x: -len(x[1])):
+            right, ranks = np.array(row, np.int64).T
+            while True:
+                at = int(rng.integers(size))
+                if (self.table[right + at] < 0).all():
+                    break
+            self.table[right + at], self.offset[a] = ranks << PLACE + 32 | a, at
+
+    def candidates(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, shifted to leave room for a place; NONE if it makes no piece."""
+        found = self.table.take(self.offset.take(left) + right)
+        return np.where(found & 0xFFFFFFFF == left, found >> 32, NONE)
+
+    def encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        out: list = [None] * len(texts)
+        fit = [i for i, t in enumerate(texts) if self.able and t and MARK not in t and t[0] != " " and "  " not in t]
+        if len(fit) >= LEAST:
+            for i, ids in zip(fit, self._encode([texts[i] for i in fit], [keys[i] for i in fit]), strict=True):
+                out[i] = ids
+        return [self.s.encode(t, k) if x is None else x for t, k, x in zip(texts, keys, out, strict=True)]
+
+    def _encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray | None]:
+        joined = "".join([MARK + t.replace(" ", MARK) for t in texts])
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        n, ends = len(points), np.cumsum([len(t) + 1 for t in texts])
+        begins = np.concatenate([[0], ends[:-1]])
+        kind = self.kind[points]
+        if not kind.all():
+            for c in np.unique(points[kind == 0]).tolist():
+                self.kind[c] = 8 | (LETTER.match(chr(c)) is not None)
+            kind = self.kind[points]
+        # parts: from a mark, or after a cut
+        first = points == ord(MARK)
+        first[1:] |= (kind[:-1] & (kind[1:] >> 1) & 1 | kind[:-1] & 4) != 0
+        starts = np.flatnonzero(first)
+        sizes = np.diff(starts, append=n)
+        symbol = self.char[points]
+        queue = np.full(n + PART, NONE, np.int32)
+        for at in range(0, n - 1, 1 << 18):
+            to = min(at + (1 << 18), n - 1)
+            queue[at:to] = self.candidates(symbol[at:to], symbol[at + 1 : to + 1])
+        queue[starts[1:] - 1] = NONE
+        busy = np.minimum.reduceat(queue[:n], starts) != NONE
+        starts_b, sizes_b = starts[busy], sizes[busy]
+        place = np.arange(n, dtype=np.int32)
+        place -= np.repeat(starts.astype(np.int32), sizes)
+        np.bitwise_or(queue[:n], place & PART - 1, out=queue[:n])  # NONE stays
+        del place
+        after, before, alive = np.ones(n, np.int8), np.ones(n, np.int8), np.ones(n, bool)
+        after[starts[1:] - 1], before[starts], after[n - 1] = 0, 0, 0
+        here, last = np.searchsorted(starts_b, begins), np.searchsorted(starts_b, ends)
+        alone = np.zeros(len(texts), bool)
+        alone[np.searchsorted(ends, starts_b[sizes_b > PART], "right")] = True
+        texts_on = np.flatnonzero((here < last) & ~alone)
+        left = self._turns(symbol, queue, after, before, alive, starts_b, sizes_b, here[texts_on], last[texts_on], [keys[i] for i in texts_on.tolist()])
+        out = self._ids(points, symbol, alive, begins)
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = None
+        for lane, at, turn in left:
+            i = int(texts_on[lane])
+            done = self._ids(points[begins[i] : at], symbol[begins[i] : at], alive[begins[i] : at], np.zeros(1, np.int64))[0] if at > begins[i] else out[i][:0]
+            out[i] = np.concatenate([done, self.s.encode_rest(joined[at : ends[i]], keys[i], turn)])
+        return out
+
+    def _ids(self, points: np.ndarray, symbol: np.ndarray, alive: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+        """The ids of the symbols that are left, by text; unknown characters as bytes."""
+        strange = np.flatnonzero(symbol == self.unknown)
+        many = alive.astype(np.int8)
+        if len(strange):
+            p = points[strange]
+            many[strange] = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
+            ids = np.repeat(symbol, many)
+            ids[ids == self.unknown] = self.byte_id[np.frombuffer(p.tobytes().decode("utf-32-le").encode(), np.uint8)]
+        else:
+            ids = symbol[alive]
+        return np.split(ids, np.cumsum(np.add.reduceat(many, begins, dtype=np.int64))[:-1])
+
+    def _turns(self, symbol, queue, after, before, alive, starts, sizes, here, last, keys) -> list[tuple[int, int, int]]:
+        """Takes all turns, changing the arrays. What is left when too few texts go on: number, the place of the present part, its first turn."""
+        s, m = self.s, len(here)
+        if not m:
+            return []
+        first = np.array([xxhash.xxh64_intdigest(b"%d:%d" % (s.seed, k)) for k in keys], np.uint64)
+        lane, base, since = np.arange(m), starts.take(here), np.zeros(m, np.int64)
+        nothing, n = len(starts), len(symbol)
+        starts, sizes = np.append(starts, n), np.append(sizes, 1)
+        queue[n] = 0
+        here = here - 1  # the parts before the first ones are done
+        agenda = np.full((int(sizes[sizes <= PART].max()), m), NONE, np.int32)
+        rows, count, turn = np.arange(PART)[:, None], np.arange(m), 0
+        flat = agenda.reshape(-1)
+        while True:
+            if not turn % DRAWS:
+                go = (here < last).nonzero()[0]
+                if len(go) < m:
+                    lane, base, since, here, last, first = (x.take(go) for x in (lane, base, since, here, last, first))
+                    agenda, m = agenda.take(go, axis=1), len(go)
+                    flat, count = agenda.reshape(-1), count[:m]
+                if m < LEAST:
+                    return list(zip(lane.tolist(), base.tolist(), since.tolist(), strict=True))
+                drawn = self._taken(first, turn)
+            best = agenda.min(0)
+            empty = (best == NONE).nonzero()[0]
+            if len(empty):
+                now = here.take(empty)
+                now += 1
+                over = (now >= last.take(empty)).nonzero()[0]
+                if len(over):
+                    now[over] = last.take(empty.take(over))
+                here[empty] = now
+                if len(over):  # ended texts stay for a while, with a candidate that is always skipped
+                    now[over] = nothing
+                    drawn[:, empty.take(over)] = False
+                at, size = starts.take(now), sizes.take(now)
+                base[empty], since[empty] = at, turn
+                r = rows[: size.max()]
+                new = queue.take(at + r)
+                new[r >= size] = NONE
+                agenda[: len(r), empty] = new
+                best[empty] = new.min(0)
+            on = drawn[turn % DRAWS].nonzero()[0]
+            turn += 1
+            best = best.astype(np.int64)
+            place = best & PART - 1
+            cell = place * m
+            cell += count
+            flat[cell] = NONE  # a candidate that is skipped
+            if not len(on):
+                continue
+            place, cell, i = place.take(on), cell.take(on), (base + place).take(on)
+            merged = self.by_rank.take(best.take(on) >> PLACE)
+            step, back = after.take(i), before.take(i)
+            j = i + step
+            beyond = after.take(j)
+            k = j + beyond
+            symbol[i] = merged
+            alive[j] = False
+            wide = step + beyond
+            ended = (beyond == 0).nonzero()[0]
+            wide[ended] = 0
+            after[i] = wide
+            before[k] = wide
+            right = symbol.take(k)
+            right[ended] = self.unknown
+            n = len(on)
+            left = np.concatenate([symbol.take(i - back), merged])
+            found = self.candidates(left, np.concatenate([left[n:], right]))
+            flat[cell + np.multiply(step, m, dtype=np.int64)] = NONE
+            to_left = found[:n]
+            to_left |= place - back
+            flat[cell - np.multiply(back, m, dtype=np.int64)] = to_left  # at the symbol's own place if none is before it; the next line sets that
+            to_right = found[n:]
+            to_right |= place
+            flat[cell] = to_right
+
+    def _taken(self, first: np.ndarray, turn: int) -> np.ndarray:
+        """Which of the next turns aren't skipped: a row for each turn, a column for each text. As Segmenter.skipped() has them."""
+        z = first[:, None] + np.arange((turn >> 2) + 1, (turn + DRAWS >> 2) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return np.ascontiguousarray((mixed(z).astype("<u8", copy=False).view("<u2") >= self.s.limit).T)
+
+
 def segmentations(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_chars, ids (array of piece ids), n_pieces, digest (crc32 of the ids as 4-byte numbers) and lossless.
 
@@ -310,28 +549,34 @@ def segmentations(docs: DataFrame, model: str, rate: float = 0.1, seed: int = 0,
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def make():
+    def spans(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ends, at = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, SPAN + (ends[at - 1] if at else 0), "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (model, rate, seed) not in MADE:
             MADE.clear()
             MADE[model, rate, seed] = Segmenter(model, rate, seed)
         s = MADE[model, rate, seed]
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            raw = batch.column(1).to_pylist()
-            keys = [xxhash.xxh64_intdigest(b"" if i is None else str(i).encode()) for i in batch.column(0).to_pylist()]
+        for span in (x for b in batches for x in spans(b)):
+            raw = span.column(1).to_pylist()
+            keys = [xxhash.xxh64_intdigest(b"" if i is None else str(i).encode()) for i in span.column(0).to_pylist()]
             gc.disable()  # nodes make no cycles, and looking for some in them takes a third of the time
             try:
-                ids = [s.encode(t, k) for t, k in zip(raw, keys, strict=True)]
+                encoded = s.encode_all(raw, keys)
             finally:
                 gc.enable()
-            n = list(map(len, ids))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.concatenate(ids)))
-            same = [s.decode(i) == t for i, t in zip(ids, raw, strict=True)]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raw), pa.int64()), lists, pa.array(n, pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array(same)], names=["doc_id", "n_chars", "ids", "n_pieces", "digest", "lossless"])
-
-        return run
-
-    return map_arrow(texts(docs, id_col, text_col), make, f"doc_id {kind}, n_chars long, ids array<int>, n_pieces long, digest long, lossless boolean", ROWS).withColumnRenamed("doc_id", id_col)
+            for at in range(0, len(raw), ROWS):
+                ids, own = encoded[at : at + ROWS], raw[at : at + ROWS]
+                n = list(map(len, ids))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(np.concatenate(ids)))
+                same = [s.decode(i) == t for i, t in zip(ids, own, strict=True)]
+                yield pa.RecordBatch.from_arrays([span.column(0).slice(at, ROWS), pa.array(map(len, own), pa.int64()), lists, pa.array(n, pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()), pa.array(same)], names=["doc_id", "n_chars", "ids", "n_pieces", "digest", "lossless"])
+
+    return texts(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_chars long, ids array<int>, n_pieces long, digest long, lossless boolean").withColumnRenamed("doc_id", id_col)
 
 
 def decoded(encoded: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:

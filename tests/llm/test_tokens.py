@@ -220,3 +220,32 @@ def test_tasks_hold_slices_and_a_bounded_store(spark, monkeypatch):
     for k in range(300):  # of words that are known, new ways
         s.encode("anotherhabitation nonhabitation thenorthernhabitations " * 10, k)
         assert len(s.ways) <= m.KEPT
+
+
+@pytest.mark.parametrize(("rate", "seed"), [(0.1, 5), (0.0, 5), (0.6, 2), (1.0, 5)])
+def test_texts_encoded_together_are_as_one_by_one(rate, seed, monkeypatch):
+    import careerlake.llm.merge_dropout as m
+
+    monkeypatch.setattr(m, "LEAST", 4)
+    monkeypatch.setattr(m, "GROUP", 30_000)
+    rng = random.Random(seed)
+    words = ["the", "internationalization", "of", "naïve", "state-of-the-art.", "don't", "1234", "gathering.\nAnother", "Überraschung!", "日本", "😀", "e.g.", "(a,b)", "\n", "Straße", "\x00"]
+    odd = ["", " ", "a", " lead", "trail ", "two  spaces", "with ▁ mark", "x" * 80 + " after", "ab" * 300, "é😀" * 40, "\n\n", "."]
+    docs = [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(300)] + odd + [" ".join(rng.choices(words, k=4_000))]
+    rng.shuffle(docs)
+    keys = [rng.randrange(1 << 64) for _ in docs]
+    s, one = Segmenter(PIECES, rate, seed), Segmenter(PIECES, rate, seed)
+    got = s.encode_all(docs, keys)
+    assert [i.tolist() for i in got] == [one.encode(t, k).tolist() for t, k in zip(docs, keys, strict=True)]
+    assert all(i.dtype.str == "<i4" and s.decode(i) == t for i, t in zip(got, docs, strict=True)) and s.encode_all([], []) == []
+
+
+def test_few_texts_of_a_batch_go_through_the_agenda_alone(monkeypatch):
+    s, alone, rest = Segmenter(PIECES, 0.1, seed=5), [], []
+    encode, encode_rest = s.encode, s.encode_rest
+    monkeypatch.setattr(s, "encode", lambda t, k=0: alone.append(t) or encode(t, k))
+    monkeypatch.setattr(s, "encode_rest", lambda t, k, n: rest.append(t) or encode_rest(t, k, n))
+    rng = random.Random(9)
+    docs = [" ".join("".join(rng.choices(["an", "the", "tion", "er", "en"], k=rng.randint(1, 5))) for _ in range(rng.randint(90, 110))) for _ in range(400)]
+    s.encode_all(docs, list(range(len(docs))))
+    assert not alone and sum(map(len, rest)) < 0.05 * sum(map(len, docs))
