@@ -37,7 +37,7 @@ MARK = "▁"
 WORDS = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 NEVER, END = 1 << 60, 1 << 59  # no rank or unknown turns; after the last turn
 ROWS = 64  # texts in a batch that a task puts out
-SPAN, GROUP = 32_000_000, 4_000_000  # bytes of texts that a task takes of an Arrow batch at once, and characters that take their turns together
+SPAN, GROUP = 32_000_000, 3_000_000  # bytes of texts that a task takes of an Arrow batch at once, and characters that take their turns together
 LEAST = 40  # so many texts pay for turns taken together
 PLACE = 6  # bits for the place in a part, where turns are taken together
 PART = 1 << PLACE
@@ -416,6 +416,9 @@ class Together:
         starts = np.flatnonzero(first)
         sizes = np.diff(starts, append=n)
         symbol = self.char[points]
+        strange = (symbol == self.unknown).nonzero()[0]
+        points = points[strange]
+        del first, kind
         queue = np.full(n + PART, NONE, np.int32)
         for at in range(0, n - 1, 1 << 18):
             to = min(at + (1 << 18), n - 1)
@@ -423,10 +426,10 @@ class Together:
         queue[starts[1:] - 1] = NONE
         busy = np.minimum.reduceat(queue[:n], starts) != NONE
         starts_b, sizes_b = starts[busy], sizes[busy]
-        place = np.arange(n, dtype=np.int32)
-        place -= np.repeat(starts.astype(np.int32), sizes)
-        np.bitwise_or(queue[:n], place & PART - 1, out=queue[:n])  # NONE stays
-        del place
+        for at in range(0, len(starts), 1 << 16):  # each candidate's place in its part; NONE stays
+            to = min(at + (1 << 16), len(starts))
+            a, b = int(starts[at]), int(starts[to]) if to < len(starts) else n
+            queue[a:b] |= (np.arange(a, b) - np.repeat(starts[at:to], sizes[at:to]) & PART - 1).astype(np.int32)
         after, before, alive = np.ones(n, np.int8), np.ones(n, np.int8), np.ones(n, bool)
         after[starts[1:] - 1], before[starts], after[n - 1] = 0, 0, 0
         here, last = np.searchsorted(starts_b, begins), np.searchsorted(starts_b, ends)
@@ -434,24 +437,23 @@ class Together:
         alone[np.searchsorted(ends, starts_b[sizes_b > PART], "right")] = True
         texts_on = np.flatnonzero((here < last) & ~alone)
         left = self._turns(symbol, queue, after, before, alive, starts_b, sizes_b, here[texts_on], last[texts_on], [keys[i] for i in texts_on.tolist()])
-        out = self._ids(points, symbol, alive, begins)
+        out = self._ids(points, strange, symbol, alive, begins)
         for i in np.flatnonzero(alone).tolist():
             out[i] = None
         for lane, at, turn in left:
             i = int(texts_on[lane])
-            done = self._ids(points[begins[i] : at], symbol[begins[i] : at], alive[begins[i] : at], np.zeros(1, np.int64))[0] if at > begins[i] else out[i][:0]
+            a, b = np.searchsorted(strange, (begins[i], at))
+            done = self._ids(points[a:b], strange[a:b] - begins[i], symbol[begins[i] : at], alive[begins[i] : at], np.zeros(1, np.int64))[0] if at > begins[i] else out[i][:0]
             out[i] = np.concatenate([done, self.s.encode_rest(joined[at : ends[i]], keys[i], turn)])
         return out
 
-    def _ids(self, points: np.ndarray, symbol: np.ndarray, alive: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
-        """The ids of the symbols that are left, by text; unknown characters as bytes."""
-        strange = np.flatnonzero(symbol == self.unknown)
+    def _ids(self, points: np.ndarray, strange: np.ndarray, symbol: np.ndarray, alive: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+        """The ids of the symbols that are left, by text; unknown characters, of these code points at these places, as bytes."""
         many = alive.astype(np.int8)
         if len(strange):
-            p = points[strange]
-            many[strange] = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
+            many[strange] = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
             ids = np.repeat(symbol, many)
-            ids[ids == self.unknown] = self.byte_id[np.frombuffer(p.tobytes().decode("utf-32-le").encode(), np.uint8)]
+            ids[ids == self.unknown] = self.byte_id[np.frombuffer(points.tobytes().decode("utf-32-le").encode(), np.uint8)]
         else:
             ids = symbol[alive]
         return np.split(ids, np.cumsum(np.add.reduceat(many, begins, dtype=np.int64))[:-1])
